@@ -6,6 +6,7 @@ from rillworks.functions.json_nodes import (  # noqa: F401
     field,
     malformed,
     parse_fields,
-    parse_once,
+    read_fields,
+    settle,
 )
-from rillworks.functions.numbers import strict_int  # noqa: F401
+from rillworks.functions.numbers import strict_int, with_value  # noqa: F401

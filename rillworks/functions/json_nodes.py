@@ -10,7 +10,7 @@ reads as ``0.0``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +20,16 @@ from rillworks.functions.numbers import (
     int_from_double,
     int_in_text,
     low_32_bits,
+    low_32_bits_of_decimal,
+    with_value,
 )
 
 BAD = "_bad"
 
+# Whole numbers of one spelling; texts that start unlike numbers and brackets.
+_SURELY_INT = r"^(0|-?[1-9][0-9]{0,8})$"
+_SURELY_TEXT = r"^[^-0-9{\[]"
+
 _OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": BAD,
@@ -32,22 +38,75 @@ _OPTIONS = {
 }
 
 
+def _from_json(text: Column, columns: Sequence[str]) -> Column:
+    return F.from_json(text, ", ".join([*columns, f"`{BAD}` string"]), _OPTIONS)
+
+
 def parse_fields(text: Column, fields: Sequence[str]) -> Column:
     """Struct of the named top-level fields as variants, plus the bad text."""
-    columns = [f"`{name}` variant" for name in fields] + [f"`{BAD}` string"]
-    return F.from_json(text, ", ".join(columns), _OPTIONS)
+    return _from_json(text, [f"`{name}` variant" for name in fields])
 
 
-def parse_once(
-    df: DataFrame, text: str | Column, fields: Sequence[str], into: str
-) -> DataFrame:
-    """Add the parsed struct so that later filters do not parse again.
+def settle(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add columns that later filters and joins read rather than recompute.
 
-    A filter on a plain computed column is pushed below it by repeating the
+    A condition on a plain computed column is pushed below it by repeating its
     expression, here one JSON parse per mention. It stops at a generator.
     """
-    column = F.col(text) if isinstance(text, str) else text
-    return df.select("*", F.explode(F.array(parse_fields(column, fields))).alias(into))
+    kept = [c for c in df.columns if c not in columns]
+    made = df.select(*kept, *[c.alias(f"_{name}") for name, c in columns.items()])
+    row = F.struct(*[F.col(f"_{name}").alias(name) for name in columns])
+    return made.select(*kept, F.inline(F.array(row)))
+
+
+def read_fields(
+    df: DataFrame,
+    text: str,
+    ints: Mapping[str, str] | None = None,
+    texts: Mapping[str, str] | None = None,
+    missing: str = "default",
+) -> DataFrame:
+    """Add top-level JSON fields as columns, and ``malformed`` for the text.
+
+    ``ints`` and ``texts`` map new columns to fields. A missing field gives the
+    default of its type, or NULL with ``missing='null'``.
+
+    Nearly all records spell numbers as numbers and texts as texts. A parse to
+    plain text settles those, where no other JSON kind could have led to the
+    same text; only the other records are parsed as variants.
+    """
+    ints, texts = ints or {}, texts or {}
+    fields = [*ints.values(), *texts.values()]
+    typed = df.withColumn("_quick", _from_json(F.col(text), [f"`{f}` string" for f in fields]))
+    got = F.col("_quick")
+    sure = got.isNotNull() & got[BAD].isNull()
+    for f in ints.values():
+        sure = sure & got[f].rlike(_SURELY_INT)
+    for f in texts.values():
+        sure = sure & got[f].rlike(_SURELY_TEXT)
+
+    def default_or_null(node: Column, f: str, value: Column) -> Column:
+        return F.when(node[f].isNotNull(), value) if missing == "null" else value
+
+    def slowly(node: Column) -> Column:
+        return F.struct(
+            malformed(F.col(text), node).alias("malformed"),
+            *[default_or_null(node, f, as_int(node[f])).alias(c) for c, f in ints.items()],
+            *[default_or_null(node, f, as_text(node[f])).alias(c) for c, f in texts.items()],
+        )
+
+    known = typed.withColumn("_sure", F.coalesce(sure, F.lit(False)))
+    sure = F.col("_sure")
+    checked = known.withColumn(
+        "_slow", F.when(~sure, with_value(parse_fields(F.col(text), fields), slowly))
+    )
+    slow = F.col("_slow")
+    columns = {"malformed": ~sure & slow["malformed"]}
+    for c, f in ints.items():
+        columns[c] = F.when(sure, got[f].try_cast("int")).otherwise(slow[c])
+    for c, f in texts.items():
+        columns[c] = F.when(sure, got[f]).otherwise(slow[c])
+    return settle(checked, columns).drop("_quick", "_sure", "_slow")
 
 
 def malformed(text: Column, node: Column) -> Column:
@@ -64,51 +123,57 @@ def _get(node: Column, kind: str) -> Column:
     return F.try_variant_get(node, "$", kind)
 
 
-def _kind(node: Column) -> Column:
-    return F.schema_of_variant(node)
+def _by_kind(node: Column, build: Callable[[Column, Column], Column]) -> Column:
+    """``build`` applied to a variant and the name of its kind."""
+    pair = F.struct(node.alias("node"), F.schema_of_variant(node).alias("kind"))
+    return with_value(pair, lambda p: build(p["node"], p["kind"]))
 
 
 def _is_nested(kind: Column) -> Column:
     return kind.startswith("OBJECT<") | kind.startswith("ARRAY<")
 
 
+def _is_wide(node: Column, kind: Column) -> Column:
+    """A whole number beyond bigint."""
+    return kind.endswith(",0)") & _get(node, "bigint").isNull()
+
+
 def as_text(node: Column) -> Column:
     """Missing and nested give '', null gives 'null', scalars their text."""
-    kind = _kind(node)
-    big = kind.startswith("DECIMAL(") & kind.endswith(",0)") & _get(node, "bigint").isNull()
-    return (
-        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), _get(node, "string"))
+    return _by_kind(
+        node,
+        lambda v, kind: F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), _get(v, "string"))
         .when(kind == "VOID", "null")
         .when(kind.isNull() | _is_nested(kind), "")
-        .when(big, _get(node, "string"))
-        .otherwise(_get(node, "double").cast("string"))
+        .when(_is_wide(v, kind), _get(v, "string"))
+        .otherwise(_get(v, "double").cast("string")),
     )
 
 
 def as_int(node: Column) -> Column:
     """Missing, null and nested give 0; wide numbers wrap, fractions are cut."""
-    kind = _kind(node)
-    return (
-        F.when(kind == "BIGINT", low_32_bits(_get(node, "bigint")))
-        .when(kind == "STRING", int_in_text(_get(node, "string")))
-        .when(kind == "BOOLEAN", _get(node, "boolean").cast("int"))
+    return _by_kind(
+        node,
+        lambda v, kind: F.when(kind == "BIGINT", with_value(_get(v, "bigint"), low_32_bits))
+        .when(kind == "STRING", int_in_text(_get(v, "string")))
+        .when(kind == "BOOLEAN", _get(v, "boolean").cast("int"))
         .when(kind.isNull() | (kind == "VOID") | _is_nested(kind), F.lit(0))
         .when(
-            kind.endswith(",0)") & _get(node, "bigint").isNull(),
-            low_32_bits(_get(node, "decimal(38,0)")),
+            _is_wide(v, kind),
+            with_value(_get(v, "decimal(38,0)"), low_32_bits_of_decimal),
         )
-        .otherwise(int_from_double(_get(node, "double")))
+        .otherwise(with_value(_get(v, "double"), int_from_double)),
     )
 
 
 def as_double(node: Column) -> Column:
     """Missing, null, nested and unreadable text give 0.0."""
-    kind = _kind(node)
-    number = (
-        F.when(kind == "STRING", double_in_text(_get(node, "string")))
-        .when(kind == "BOOLEAN", _get(node, "boolean").cast("double"))
+    number = _by_kind(
+        node,
+        lambda v, kind: F.when(kind == "STRING", double_in_text(_get(v, "string")))
+        .when(kind == "BOOLEAN", _get(v, "boolean").cast("double"))
         .when(kind.isNull() | (kind == "VOID") | _is_nested(kind), F.lit(0.0))
-        .otherwise(_get(node, "double"))
+        .otherwise(_get(v, "double")),
     )
     return F.coalesce(number, F.lit(0.0))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,15 @@ _DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?$"
 _SPECIAL = r"^[+-]?(NaN|Infinity)$"
 
 
+def with_value(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build`` applied to an expression that is evaluated once.
+
+    Each mention of an expression in a larger one is computed again; the
+    argument of a lambda is computed before the lambda runs.
+    """
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
 def strict_int(text: Column) -> Column:
     """Sign and digits only, no blanks, in int range; NULL otherwise."""
     return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
@@ -31,9 +42,12 @@ def int_in_text(text: Column) -> Column:
     a double and cut to range.
     """
     bare = F.regexp_replace(F.btrim(text, F.lit(_BLANKS)), r"^\+", "")
-    return F.when(
-        bare.rlike("^-?[0-9]+$"), F.coalesce(bare.try_cast("int"), F.lit(0))
-    ).otherwise(int_from_double(double_in_text(bare)))
+    return with_value(
+        bare,
+        lambda t: F.when(
+            t.rlike("^-?[0-9]+$"), F.coalesce(t.try_cast("int"), F.lit(0))
+        ).otherwise(with_value(double_in_text(t), int_from_double)),
+    )
 
 
 def int_from_double(number: Column) -> Column:
@@ -47,12 +61,12 @@ def int_from_double(number: Column) -> Column:
 
 
 def low_32_bits(number: Column) -> Column:
-    """A wide whole number reduced to the int its low 32 bits spell."""
-    width = F.lit(2**32).cast(  # same wide type as the argument, no overflow
-        "decimal(38,0)"
-    )
-    half = F.lit(2**31).cast("decimal(38,0)")
-    fits = number.between(INT_MIN, INT_MAX)
-    return F.when(fits, number.try_cast("int")).otherwise(
-        (F.pmod(number.cast("decimal(38,0)") + half, width) - half).try_cast("int")
-    )
+    """A bigint reduced to the int its low 32 bits spell."""
+    low = number.bitwiseAND(F.lit(2**32 - 1))
+    return F.when(low > INT_MAX, low - F.lit(2**32)).otherwise(low).cast("int")
+
+
+def low_32_bits_of_decimal(number: Column) -> Column:
+    """The same for a whole decimal that no bigint holds."""
+    width = F.lit(2**32).cast("decimal(38,0)")
+    return low_32_bits(F.pmod(number, width).cast("bigint"))

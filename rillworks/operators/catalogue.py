@@ -12,7 +12,9 @@ from rillworks.functions import (
     elements,
     field,
     malformed,
-    parse_once,
+    parse_fields,
+    settle,
+    with_value,
 )
 from rillworks.schemas import DOCUMENT, FALLBACK_FIELDS, PRIMARY_FIELDS
 
@@ -42,32 +44,46 @@ def normalize_responses(
     """
     provider = F.lit(provider) if isinstance(provider, str) else provider
     fallback = provider == FALLBACK
-    parsed = parse_once(responses, "body", (*PRIMARY_FIELDS, "data"), "answer")
-    answer = F.col("answer")
-    picked = parsed.select(
-        *responses.columns,
-        (malformed(F.col("body"), answer) | (fallback & answer["data"].isNull())).alias("_bad"),
-        *[
-            F.when(fallback, field(answer["data"], theirs)).otherwise(answer[ours]).alias(f"_{ours}")
+    body = F.col("body")
+
+    def picked(answer: Column) -> Column:
+        bad = malformed(body, answer) | (fallback & answer["data"].isNull())
+        fields = [
+            F.when(fallback, field(answer["data"], theirs)).otherwise(answer[ours]).alias(ours)
             for ours, theirs in zip(PRIMARY_FIELDS, FALLBACK_FIELDS)
-        ],
-    )
-    listed = picked.withColumns(
-        {"_genre_items": elements(F.col("_genres")), "_studio_items": elements(F.col("_studios"))}
-    )
-    bad = F.col("_bad") | _nameless(F.col("_genre_items")) | _nameless(F.col("_studio_items"))
-    if require_lists:
-        bad = bad | F.col("_genres").isNull() | F.col("_studios").isNull()
-    doc = F.struct(
-        as_int(F.col("_id")).alias("id"),
-        as_text(F.col("_title")).alias("title"),
-        as_int(F.col("_rank")).alias("rank"),
-        as_double(F.col("_mean")).alias("mean"),
-        as_int(F.col("_num_episodes")).alias("num_episodes"),
-        _names(F.col("_genre_items")).alias("genres"),
-        _names(F.col("_studio_items")).alias("studios"),
+        ]
+        return F.struct(bad.alias("bad"), *fields)
+
+    def listed(raw: Column) -> Column:
+        bad = raw["bad"]
+        if require_lists:
+            bad = bad | raw["genres"].isNull() | raw["studios"].isNull()
+        return F.struct(
+            raw.alias("raw"),
+            bad.alias("bad"),
+            elements(raw["genres"]).alias("genres"),
+            elements(raw["studios"]).alias("studios"),
+        )
+
+    def document(parts: Column) -> Column:
+        raw = parts["raw"]
+        doc = F.struct(
+            as_int(raw["id"]).alias("id"),
+            as_text(raw["title"]).alias("title"),
+            as_int(raw["rank"]).alias("rank"),
+            as_double(raw["mean"]).alias("mean"),
+            as_int(raw["num_episodes"]).alias("num_episodes"),
+            _names(parts["genres"]).alias("genres"),
+            _names(parts["studios"]).alias("studios"),
+        ).cast(DOCUMENT)
+        sound = ~(parts["bad"] | _nameless(parts["genres"]) | _nameless(parts["studios"]))
+        return F.when(sound, doc)
+
+    answer = parse_fields(body, (*PRIMARY_FIELDS, "data"))
+    doc = with_value(
+        answer, lambda a: with_value(picked(a), lambda r: with_value(listed(r), document))
     )
-    return listed.select(*responses.columns, F.when(~bad, doc).cast(DOCUMENT).alias("doc"))
+    return settle(responses, {"doc": doc})
 
 
 def latest_responses(primary: DataFrame, fallback: DataFrame) -> DataFrame:

@@ -5,24 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillworks.functions import as_int, malformed, parse_once
+from rillworks.functions import read_fields
 from rillworks.schemas import ID_FIELD
 
 
-def with_lookup_id(
-    requests: DataFrame, id_field: str = ID_FIELD, also: tuple[str, ...] = ()
-) -> DataFrame:
-    """Add ``lookup_id``; NULL when the value is not JSON or names no id.
-
-    The parsed struct stays as ``_req`` when ``also`` asks for more fields.
-    """
-    parsed = parse_once(requests, "value", (id_field, *also), "_req")
-    node = F.col("_req")
-    missing = malformed(F.col("value"), node) | node[id_field].isNull()
-    kept = [*requests.columns, "_req"] if also else requests.columns
-    return parsed.select(
-        *kept, F.when(~missing, as_int(node[id_field])).alias("lookup_id")
-    )
+def with_lookup_id(requests: DataFrame, id_field: str = ID_FIELD) -> DataFrame:
+    """Add ``lookup_id``; NULL when the value is not JSON or names no id."""
+    read = read_fields(requests, "value", {"lookup_id": id_field}, missing="null")
+    found = F.when(~F.col("malformed"), F.col("lookup_id"))
+    return read.withColumn("lookup_id", found).drop("malformed")
 
 
 def _matching(requests: DataFrame, lookup: Column, documents: DataFrame, how: str) -> DataFrame:

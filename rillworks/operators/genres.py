@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillworks.functions import as_text, elements, field, malformed, parse_fields, parse_once
+from rillworks.functions import (
+    as_text,
+    elements,
+    field,
+    malformed,
+    parse_fields,
+    settle,
+    with_value,
+)
 from rillworks.schemas import EXPLICIT_GENRES
 
 
@@ -17,22 +25,26 @@ def _named(genre_names: Column, explicit: Sequence[str]) -> Column:
 
 def _node_allowed(text: Column, node: Column, explicit: Sequence[str]) -> Column:
     """No unwanted genre in the JSON; unreadable text and nameless genres fail."""
-    items = elements(node["genres"])
-    unwanted = F.exists(
-        items,
-        lambda g: field(g, "name").isNull() | as_text(field(g, "name")).isin(*explicit),
+
+    def unwanted(name: Column) -> Column:
+        return name.isNull() | as_text(name).isin(*explicit)
+
+    names = F.transform(elements(node["genres"]), lambda g: field(g, "name"))
+    return ~(malformed(text, node) | F.exists(names, unwanted))
+
+
+def _text_allowed(text: Column, explicit: Sequence[str]) -> Column:
+    return with_value(
+        parse_fields(text, ("genres",)), lambda node: _node_allowed(text, node, explicit)
     )
-    return ~(malformed(text, node) | unwanted)
 
 
 def exclude_genres(
     records: DataFrame, explicit: Sequence[str] = EXPLICIT_GENRES
 ) -> DataFrame:
     """Keep records whose ``value`` names none of the genres, exactly spelled."""
-    parsed = parse_once(records, "value", ("genres",), "node")
-    return parsed.where(_node_allowed(F.col("value"), F.col("node"), explicit)).select(
-        *records.columns
-    )
+    allowed = _text_allowed(F.col("value"), explicit)
+    return settle(records, {"allowed": allowed}).where("allowed").select(*records.columns)
 
 
 def with_allowed(
@@ -43,12 +55,10 @@ def with_allowed(
     Enriched records bring ``genre_names``; those passed through raw do not.
     """
     raw = F.col("provider") == "raw"
-    node = F.when(raw, parse_fields(F.col("value"), ("genres",)))
-    parsed = enriched.select("*", F.explode(F.array(node)).alias("_node"))
-    allowed = F.when(
-        raw, _node_allowed(F.col("value"), F.col("_node"), explicit)
-    ).otherwise(~_named(F.col("genre_names"), explicit))
-    return parsed.select(*enriched.columns, allowed.alias("allowed"))
+    allowed = F.when(raw, _text_allowed(F.col("value"), explicit)).otherwise(
+        ~_named(F.col("genre_names"), explicit)
+    )
+    return settle(enriched, {"allowed": allowed})
 
 
 def exclude_enriched(

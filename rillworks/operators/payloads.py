@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillworks.functions import as_int, as_text, malformed, parse_once
+from rillworks.functions import read_fields
 
 POLICIES = ("skip", "empty", "fail_job")
 
@@ -27,33 +27,30 @@ def apply_policy(df: DataFrame, bad: Column, policy: str, value: str) -> DataFra
     raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
 
 
-def _parsed(messages: DataFrame, fields: tuple[str, ...]) -> tuple[DataFrame, Column]:
-    parsed = parse_once(messages, "value", fields, "node")
-    return parsed, malformed(F.col("value"), F.col("node"))
-
-
 def normalize_payload(messages: DataFrame, policy: str = "fail_job") -> DataFrame:
     """``{id, username, message}`` with defaults, as columns beside the input.
 
     ``policy='empty'`` keeps a bad row with all three defaults.
     """
-    parsed, bad = _parsed(messages, ("id", "username", "message"))
-    parsed = apply_policy(parsed, bad, policy, "value")
-    node = F.col("node")
-    if policy == "empty":
-        node = F.when(F.col("value") != "", node)
-    return parsed.select(
-        *messages.columns,
-        as_int(node["id"]).alias("id"),
-        as_text(node["username"]).alias("username"),
-        as_text(node["message"]).alias("message"),
+    read = read_fields(
+        messages, "value", {"id": "id"}, {"username": "username", "message": "message"}
     )
+    bad = F.col("malformed")
+    clean = apply_policy(read, bad, policy, "value")
+    if policy == "empty":
+        clean = clean.withColumns(
+            {
+                "id": F.when(bad, 0).otherwise(F.col("id")),
+                "username": F.when(bad, "").otherwise(F.col("username")),
+                "message": F.when(bad, "").otherwise(F.col("message")),
+            }
+        )
+    return clean.drop("malformed")
 
 
 def rejected_payloads(messages: DataFrame) -> DataFrame:
     """The messages whose value is not JSON."""
-    parsed, bad = _parsed(messages, ("id",))
-    return reject_flagged(parsed, bad).select(*messages.columns)
+    return reject_flagged(read_fields(messages, "value"), F.col("malformed")).drop("malformed")
 
 
 def payload_json() -> Column:
@@ -63,13 +60,11 @@ def payload_json() -> Column:
 
 def with_username(messages: DataFrame) -> DataFrame:
     """Add ``username`` and key the record by it; no username, no record."""
-    parsed, bad = _parsed(messages, ("username",))
-    name = F.when(bad, F.lit("")).otherwise(as_text(F.col("node.username")))
-    kept = [c for c in messages.columns if c != "key"]
+    read = read_fields(messages, "value", texts={"username": "username"})
     return (
-        parsed.select(*kept, name.alias("username"))
-        .where("username <> ''")
+        read.where("not malformed and username <> ''")
         .withColumn("key", F.col("username"))
+        .drop("malformed")
     )
 
 

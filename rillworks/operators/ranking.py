@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillworks.functions import as_int, elements, field, malformed, parse_once
+from rillworks.functions import as_int, elements, field, malformed, parse_fields
 from rillworks.schemas import RANK_PAGE, RANK_TOTAL
 
 
@@ -40,7 +40,7 @@ def page_documents(ranked: DataFrame) -> DataFrame:
 
 def _page_items(pages: DataFrame) -> DataFrame:
     """Add ``_ids``, NULL per entry without an id, and ``_bad`` for the page."""
-    parsed = parse_once(pages, "value", ("data",), "_page")
+    parsed = pages.withColumn("_page", parse_fields(F.col("value"), ("data",)))
     node = F.col("_page")
     ids = F.transform(
         elements(node["data"]), lambda entry: field(field(entry, "node"), "id")
