@@ -1,4 +1,5 @@
 from rillworks.functions.json_nodes import (  # noqa: F401
+    SURELY_TEXT,
     as_double,
     as_int,
     as_text,
@@ -6,7 +7,11 @@ from rillworks.functions.json_nodes import (  # noqa: F401
     field,
     malformed,
     parse_fields,
+    parse_typed,
     read_fields,
     settle,
+    surely_double,
+    surely_int,
+    surely_text,
 )
 from rillworks.functions.numbers import strict_int, with_value  # noqa: F401

@@ -26,9 +26,11 @@ from rillworks.functions.numbers import (
 
 BAD = "_bad"
 
-# Whole numbers of one spelling; texts that start unlike numbers and brackets.
+# Spellings that mean the same as a number and as a text, and texts that start
+# unlike a number, an object or an array.
 _SURELY_INT = r"^(0|-?[1-9][0-9]{0,8})$"
-_SURELY_TEXT = r"^[^-0-9{\[]"
+_SURELY_DOUBLE = r"^-?(0|[1-9][0-9]{0,14})(\.[0-9]{1,15})?$"
+SURELY_TEXT = r"^[^-0-9{\[]"
 
 _OPTIONS = {
     "mode": "PERMISSIVE",
@@ -38,13 +40,33 @@ _OPTIONS = {
 }
 
 
-def _from_json(text: Column, columns: Sequence[str]) -> Column:
+def parse_typed(text: Column, columns: Sequence[str]) -> Column:
+    """Struct of the given DDL columns, plus the bad text."""
     return F.from_json(text, ", ".join([*columns, f"`{BAD}` string"]), _OPTIONS)
 
 
 def parse_fields(text: Column, fields: Sequence[str]) -> Column:
     """Struct of the named top-level fields as variants, plus the bad text."""
-    return _from_json(text, [f"`{name}` variant" for name in fields])
+    return parse_typed(text, [f"`{name}` variant" for name in fields])
+
+
+def surely_int(text: Column, null_is_zero: bool = True) -> Column:
+    """A field parsed to text that reads as the same int whatever its kind was.
+
+    NULL stands for missing or null, which both read as 0.
+    """
+    certain = text.rlike(_SURELY_INT)
+    return text.isNull() | certain if null_is_zero else certain
+
+
+def surely_double(text: Column) -> Column:
+    """The same for a double."""
+    return text.isNull() | text.rlike(_SURELY_DOUBLE)
+
+
+def surely_text(text: Column) -> Column:
+    """The same for a text; NULL leaves open which default applies."""
+    return text.rlike(SURELY_TEXT)
 
 
 def settle(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -77,13 +99,13 @@ def read_fields(
     """
     ints, texts = ints or {}, texts or {}
     fields = [*ints.values(), *texts.values()]
-    typed = df.withColumn("_quick", _from_json(F.col(text), [f"`{f}` string" for f in fields]))
+    typed = df.withColumn("_quick", parse_typed(F.col(text), [f"`{f}` string" for f in fields]))
     got = F.col("_quick")
     sure = got.isNotNull() & got[BAD].isNull()
     for f in ints.values():
-        sure = sure & got[f].rlike(_SURELY_INT)
+        sure = sure & surely_int(got[f], null_is_zero=missing != "null")
     for f in texts.values():
-        sure = sure & got[f].rlike(_SURELY_TEXT)
+        sure = sure & surely_text(got[f])
 
     def default_or_null(node: Column, f: str, value: Column) -> Column:
         return F.when(node[f].isNotNull(), value) if missing == "null" else value
@@ -103,7 +125,9 @@ def read_fields(
     slow = F.col("_slow")
     columns = {"malformed": ~sure & slow["malformed"]}
     for c, f in ints.items():
-        columns[c] = F.when(sure, got[f].try_cast("int")).otherwise(slow[c])
+        zero = None if missing == "null" else 0
+        quickly = F.coalesce(got[f].try_cast("int"), F.lit(zero))
+        columns[c] = F.when(sure, quickly).otherwise(slow[c])
     for c, f in texts.items():
         columns[c] = F.when(sure, got[f]).otherwise(slow[c])
     return settle(checked, columns).drop("_quick", "_sure", "_slow")

@@ -18,10 +18,10 @@ _SPECIAL = r"^[+-]?(NaN|Infinity)$"
 def with_value(value: Column, build: Callable[[Column], Column]) -> Column:
     """``build`` applied to an expression that is evaluated once.
 
-    Each mention of an expression in a larger one is computed again; the
-    argument of a lambda is computed before the lambda runs.
+    Each mention of an expression in a larger one is computed again. Here it
+    is the start value of an aggregate over nothing, and ``build`` its finish.
     """
-    return F.get(F.transform(F.array(value), build), F.lit(0))
+    return F.aggregate(F.array(), value, lambda held, _: held, build)
 
 
 def strict_int(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,14 @@ from rillworks.functions import (
     field,
     malformed,
     parse_fields,
+    parse_typed,
     settle,
+    surely_double,
+    surely_int,
+    surely_text,
     with_value,
 )
+from rillworks.functions.json_nodes import BAD
 from rillworks.schemas import DOCUMENT, FALLBACK_FIELDS, PRIMARY_FIELDS
 
 PRIMARY = "primary"
@@ -32,19 +39,37 @@ def _names(items: Column) -> Column:
     )
 
 
-def normalize_responses(
-    responses: DataFrame, provider: Column | str, require_lists: bool = False
-) -> DataFrame:
-    """Add ``doc``, the document an answer holds, NULL where it holds none.
+_LISTED = "array<struct<name string>>"
+_TYPES = ("string", "string", "string", "string", "string", _LISTED, _LISTED)
 
-    ``provider`` is 'primary' or 'fallback' per row. An answer holds no
-    document when it is not JSON, when a fallback answer lacks ``data``, when
-    a genre or studio lacks a name, and, with ``require_lists``, when one of
-    the two lists is missing.
-    """
-    provider = F.lit(provider) if isinstance(provider, str) else provider
-    fallback = provider == FALLBACK
-    body = F.col("body")
+
+def _columns(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}` {t}" for n, t in zip(names, _TYPES))
+
+
+def _typed_document(got: Column, names: Sequence[str]) -> tuple[Column, Column]:
+    """A document from fields parsed to text, and whether they settle it."""
+    ident, title, rank, mean, episodes, genres, studios = [got[n] for n in names]
+    sure = surely_int(ident) & surely_text(title) & surely_int(rank)
+    sure = sure & surely_double(mean) & surely_int(episodes)
+    for listed in (genres, studios):
+        sure = sure & listed.isNotNull() & F.forall(
+            listed["name"], lambda n: n.isNotNull() & surely_text(n)
+        )
+    doc = F.struct(
+        F.coalesce(ident.try_cast("int"), F.lit(0)).alias("id"),
+        title.alias("title"),
+        F.coalesce(rank.try_cast("int"), F.lit(0)).alias("rank"),
+        F.coalesce(mean.try_cast("double"), F.lit(0.0)).alias("mean"),
+        F.coalesce(episodes.try_cast("int"), F.lit(0)).alias("num_episodes"),
+        genres.alias("genres"),
+        studios.alias("studios"),
+    )
+    return sure, doc.cast(DOCUMENT)
+
+
+def _variant_document(body: Column, fallback: Column, require_lists: bool) -> Column:
+    """A document from fields of any kind, NULL where the answer holds none."""
 
     def picked(answer: Column) -> Column:
         bad = malformed(body, answer) | (fallback & answer["data"].isNull())
@@ -80,10 +105,44 @@ def normalize_responses(
         return F.when(sound, doc)
 
     answer = parse_fields(body, (*PRIMARY_FIELDS, "data"))
-    doc = with_value(
+    return with_value(
         answer, lambda a: with_value(picked(a), lambda r: with_value(listed(r), document))
     )
-    return settle(responses, {"doc": doc})
+
+
+def normalize_responses(
+    responses: DataFrame, provider: Column | str, require_lists: bool = False
+) -> DataFrame:
+    """Add ``doc``, the document an answer holds, NULL where it holds none.
+
+    ``provider`` is 'primary' or 'fallback' per row. An answer holds no
+    document when it is not JSON, when a fallback answer lacks ``data``, when
+    a genre or studio lacks a name, and, with ``require_lists``, when one of
+    the two lists is missing.
+
+    Usual answers are settled by a parse to text; only the others are parsed
+    as variants, whose rules cover every kind of field.
+    """
+    provider = F.lit(provider) if isinstance(provider, str) else provider
+    fallback, body = provider == FALLBACK, F.col("body")
+    quick = parse_typed(
+        body, [_columns(PRIMARY_FIELDS), f"`data` struct<{_columns(FALLBACK_FIELDS)}>"]
+    )
+    typed = responses.withColumn("_fallback", fallback).withColumn("_quick", quick)
+    got, fallback = F.col("_quick"), F.col("_fallback")
+    ours_sure, ours = _typed_document(got, PRIMARY_FIELDS)
+    theirs_sure, theirs = _typed_document(got["data"], FALLBACK_FIELDS)
+    sure = got[BAD].isNull() & F.when(
+        fallback, got["data"].isNotNull() & theirs_sure
+    ).otherwise(ours_sure)
+    known = typed.withColumn("_sure", F.coalesce(sure, F.lit(False)))
+    checked = known.withColumn(
+        "_slow", F.when(~F.col("_sure"), _variant_document(body, fallback, require_lists))
+    )
+    doc = F.when(F.col("_sure"), F.when(fallback, theirs).otherwise(ours)).otherwise(
+        F.col("_slow")
+    )
+    return settle(checked, {"doc": doc}).drop("_fallback", "_quick", "_sure", "_slow")
 
 
 def latest_responses(primary: DataFrame, fallback: DataFrame) -> DataFrame:

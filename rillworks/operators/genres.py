@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillworks.functions import (
+    SURELY_TEXT,
     as_text,
     elements,
     field,
     malformed,
     parse_fields,
+    parse_typed,
     settle,
     with_value,
 )
+from rillworks.functions.json_nodes import BAD
 from rillworks.schemas import EXPLICIT_GENRES
 
 
-def _named(genre_names: Column, explicit: Sequence[str]) -> Column:
-    return F.arrays_overlap(genre_names, F.array(*[F.lit(g) for g in explicit]))
+def _free_of(genre_names: Column, explicit: Sequence[str]) -> Column:
+    return ~F.arrays_overlap(genre_names, F.array(*[F.lit(g) for g in explicit]))
 
 
 def _node_allowed(text: Column, node: Column, explicit: Sequence[str]) -> Column:
@@ -33,18 +37,51 @@ def _node_allowed(text: Column, node: Column, explicit: Sequence[str]) -> Column
     return ~(malformed(text, node) | F.exists(names, unwanted))
 
 
-def _text_allowed(text: Column, explicit: Sequence[str]) -> Column:
-    return with_value(
-        parse_fields(text, ("genres",)), lambda node: _node_allowed(text, node, explicit)
+def _with_allowed(
+    records: DataFrame, explicit: Sequence[str], read: Column, known: Column
+) -> DataFrame:
+    """Add ``allowed``: from ``value`` where ``read`` holds, else ``known``.
+
+    Genres that parse to a list of names are settled by it, provided the
+    unwanted names look like words: then no number or object equals one. Only
+    other records are parsed as variants.
+    """
+    text = F.col("value")
+    wordy = all(re.match(SURELY_TEXT, genre) for genre in explicit)
+    got, names = F.col("_quick"), F.col("_quick.genres.name")
+    settled = (
+        F.lit(wordy)
+        & got.isNotNull()
+        & got[BAD].isNull()
+        & (names.isNull() | ~F.exists(names, lambda n: n.isNull()))
+    )
+    typed = records.withColumn("_read", read).withColumn(
+        "_quick",
+        F.when(F.col("_read"), parse_typed(text, ["`genres` array<struct<name string>>"])),
     )
+    checked = typed.withColumn("_sure", F.coalesce(settled, F.lit(False))).withColumn(
+        "_slow",
+        F.when(
+            F.col("_read") & ~F.col("_sure"),
+            with_value(
+                parse_fields(text, ("genres",)), lambda n: _node_allowed(text, n, explicit)
+            ),
+        ),
+    )
+    allowed = (
+        F.when(~F.col("_read"), known)
+        .when(F.col("_sure"), F.coalesce(_free_of(names, explicit), F.lit(True)))
+        .otherwise(F.col("_slow"))
+    )
+    return settle(checked, {"allowed": allowed}).drop("_read", "_quick", "_sure", "_slow")
 
 
 def exclude_genres(
     records: DataFrame, explicit: Sequence[str] = EXPLICIT_GENRES
 ) -> DataFrame:
     """Keep records whose ``value`` names none of the genres, exactly spelled."""
-    allowed = _text_allowed(F.col("value"), explicit)
-    return settle(records, {"allowed": allowed}).where("allowed").select(*records.columns)
+    flagged = _with_allowed(records, explicit, F.lit(True), F.lit(True))
+    return flagged.where("allowed").drop("allowed")
 
 
 def with_allowed(
@@ -55,10 +92,7 @@ def with_allowed(
     Enriched records bring ``genre_names``; those passed through raw do not.
     """
     raw = F.col("provider") == "raw"
-    allowed = F.when(raw, _text_allowed(F.col("value"), explicit)).otherwise(
-        ~_named(F.col("genre_names"), explicit)
-    )
-    return settle(enriched, {"allowed": allowed})
+    return _with_allowed(enriched, explicit, raw, _free_of(F.col("genre_names"), explicit))
 
 
 def exclude_enriched(
