@@ -1,17 +1,18 @@
 from rillworks.functions.json_nodes import (  # noqa: F401
+    BAD,
     SURELY_TEXT,
-    as_double,
-    as_int,
-    as_text,
-    elements,
-    field,
-    malformed,
-    parse_fields,
-    parse_typed,
+    double_sql,
+    elements_sql,
+    field_sql,
+    int_sql,
+    malformed_sql,
+    parse_fields_sql,
+    parse_typed_sql,
     read_fields,
     settle,
     surely_double,
     surely_int,
     surely_text,
+    text_sql,
 )
-from rillworks.functions.numbers import strict_int, with_value  # noqa: F401
+from rillworks.functions.numbers import let, strict_int  # noqa: F401

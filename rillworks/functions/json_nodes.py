@@ -1,8 +1,9 @@
 """Reading loosely typed JSON fields with fixed defaults.
 
 A field can be missing, null, or of any JSON kind, and each case has its own
-result. Fields are therefore parsed as VARIANT: SQL NULL means missing, a
-variant null means an explicit null.
+result. A field parsed as VARIANT tells them apart: SQL NULL means missing, a
+variant null means an explicit null. Functions named ``*_sql`` take and give
+SQL text, see :mod:`rillworks.functions.numbers`.
 
 Limits: integers of more than 38 digits keep double precision, and ``-0.0``
 reads as ``0.0``.
@@ -10,7 +11,7 @@ reads as ``0.0``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,8 @@ from rillworks.functions.numbers import (
     double_in_text,
     int_from_double,
     int_in_text,
+    let,
     low_32_bits,
-    low_32_bits_of_decimal,
-    with_value,
 )
 
 BAD = "_bad"
@@ -40,14 +40,90 @@ _OPTIONS = {
 }
 
 
-def parse_typed(text: Column, columns: Sequence[str]) -> Column:
+def parse_typed_sql(text: str, columns: Sequence[str]) -> str:
     """Struct of the given DDL columns, plus the bad text."""
-    return F.from_json(text, ", ".join([*columns, f"`{BAD}` string"]), _OPTIONS)
+    ddl = ", ".join([*columns, f"`{BAD}` string"])
+    options = ", ".join(f"'{k}', '{v}'" for k, v in _OPTIONS.items())
+    return f"from_json({text}, '{ddl}', map({options}))"
 
 
-def parse_fields(text: Column, fields: Sequence[str]) -> Column:
+def parse_fields_sql(text: str, fields: Sequence[str]) -> str:
     """Struct of the named top-level fields as variants, plus the bad text."""
-    return parse_typed(text, [f"`{name}` variant" for name in fields])
+    return parse_typed_sql(text, [f"`{name}` variant" for name in fields])
+
+
+def malformed_sql(text: str, node: str) -> str:
+    """Not JSON at all. Empty text and non-objects are legal: no fields."""
+    broken = f"({node}.{BAD} IS NOT NULL AND try_parse_json({text}) IS NULL)"
+    return f"({text} IS NULL OR {broken})"
+
+
+def field_sql(node: str, name: str) -> str:
+    """A field of a variant; SQL NULL when missing or not an object."""
+    return f"try_variant_get({node}, '$.{name}', 'variant')"
+
+
+def _get(node: str, kind: str) -> str:
+    return f"try_variant_get({node}, '$', '{kind}')"
+
+
+def _by_kind(node: str, body: str) -> str:
+    """``body`` on a variant ``v`` and the name ``k`` of its kind."""
+    return let(node, "v", let("schema_of_variant(v)", "k", body))
+
+
+_NESTED = "(startswith(k, 'OBJECT<') OR startswith(k, 'ARRAY<'))"
+# A whole number beyond bigint.
+_WIDE = f"(endswith(k, ',0)') AND {_get('v', 'bigint')} IS NULL)"
+
+
+def text_sql(node: str) -> str:
+    """Missing and nested give '', null gives 'null', scalars their text."""
+    return _by_kind(
+        node,
+        f"""CASE WHEN k IN ('STRING', 'BIGINT', 'BOOLEAN') THEN {_get('v', 'string')}
+                 WHEN k = 'VOID' THEN 'null'
+                 WHEN k IS NULL OR {_NESTED} THEN ''
+                 WHEN {_WIDE} THEN {_get('v', 'string')}
+                 ELSE string({_get('v', 'double')}) END""",
+    )
+
+
+def int_sql(node: str) -> str:
+    """Missing, null and nested give 0; wide numbers wrap, fractions are cut."""
+    wide = f"bigint(pmod({_get('v', 'decimal(38,0)')}, decimal({2**32})))"
+    return _by_kind(
+        node,
+        f"""CASE WHEN k = 'BIGINT' THEN {low_32_bits(_get('v', 'bigint'))}
+                 WHEN k = 'STRING' THEN {int_in_text(_get('v', 'string'))}
+                 WHEN k = 'BOOLEAN' THEN int({_get('v', 'boolean')})
+                 WHEN k IS NULL OR k = 'VOID' OR {_NESTED} THEN 0
+                 WHEN {_WIDE} THEN {low_32_bits(wide)}
+                 ELSE {int_from_double(_get('v', 'double'))} END""",
+    )
+
+
+def double_sql(node: str) -> str:
+    """Missing, null, nested and unreadable text give 0.0."""
+    number = _by_kind(
+        node,
+        f"""CASE WHEN k = 'STRING' THEN {double_in_text(_get('v', 'string'))}
+                 WHEN k = 'BOOLEAN' THEN double({_get('v', 'boolean')})
+                 WHEN k IS NULL OR k = 'VOID' OR {_NESTED} THEN 0.0D
+                 ELSE {_get('v', 'double')} END""",
+    )
+    return f"coalesce({number}, 0.0D)"
+
+
+def elements_sql(node: str) -> str:
+    """The members of an array, the values of an object, else no elements."""
+    return let(
+        node,
+        "v",
+        f"""coalesce({_get('v', 'array<variant>')},
+                     map_values({_get('v', 'map<string,variant>')}),
+                     cast(array() AS array<variant>))""",
+    )
 
 
 def surely_int(text: Column, null_is_zero: bool = True) -> Column:
@@ -99,7 +175,7 @@ def read_fields(
     """
     ints, texts = ints or {}, texts or {}
     fields = [*ints.values(), *texts.values()]
-    typed = df.withColumn("_quick", parse_typed(F.col(text), [f"`{f}` string" for f in fields]))
+    quick = parse_typed_sql(text, [f"`{f}` string" for f in fields])
     got = F.col("_quick")
     sure = got.isNotNull() & got[BAD].isNull()
     for f in ints.values():
@@ -107,22 +183,19 @@ def read_fields(
     for f in texts.values():
         sure = sure & surely_text(got[f])
 
-    def default_or_null(node: Column, f: str, value: Column) -> Column:
-        return F.when(node[f].isNotNull(), value) if missing == "null" else value
-
-    def slowly(node: Column) -> Column:
-        return F.struct(
-            malformed(F.col(text), node).alias("malformed"),
-            *[default_or_null(node, f, as_int(node[f])).alias(c) for c, f in ints.items()],
-            *[default_or_null(node, f, as_text(node[f])).alias(c) for c, f in texts.items()],
-        )
-
-    known = typed.withColumn("_sure", F.coalesce(sure, F.lit(False)))
-    sure = F.col("_sure")
-    checked = known.withColumn(
-        "_slow", F.when(~sure, with_value(parse_fields(F.col(text), fields), slowly))
+    def value(sql: str, f: str) -> str:
+        return f"if(node.`{f}` IS NOT NULL, {sql}, NULL)" if missing == "null" else sql
+
+    slowly = [f"'malformed', {malformed_sql(text, 'node')}"]
+    slowly += [f"'{c}', {value(int_sql(f'node.`{f}`'), f)}" for c, f in ints.items()]
+    slowly += [f"'{c}', {value(text_sql(f'node.`{f}`'), f)}" for c, f in texts.items()]
+    slow = let(parse_fields_sql(text, fields), "node", f"named_struct({', '.join(slowly)})")
+    checked = (
+        df.withColumn("_quick", F.expr(quick))
+        .withColumn("_sure", F.coalesce(sure, F.lit(False)))
+        .withColumn("_slow", F.expr(f"if(_sure, NULL, {slow})"))
     )
-    slow = F.col("_slow")
+    sure, slow = F.col("_sure"), F.col("_slow")
     columns = {"malformed": ~sure & slow["malformed"]}
     for c, f in ints.items():
         zero = None if missing == "null" else 0
@@ -131,81 +204,3 @@ def read_fields(
     for c, f in texts.items():
         columns[c] = F.when(sure, got[f]).otherwise(slow[c])
     return settle(checked, columns).drop("_quick", "_sure", "_slow")
-
-
-def malformed(text: Column, node: Column) -> Column:
-    """Not JSON at all. Empty text and non-objects are legal: no fields."""
-    return text.isNull() | (node[BAD].isNotNull() & F.try_parse_json(text).isNull())
-
-
-def field(node: Column, name: str) -> Column:
-    """A field of a variant; SQL NULL when missing or not an object."""
-    return F.try_variant_get(node, f"$.{name}", "variant")
-
-
-def _get(node: Column, kind: str) -> Column:
-    return F.try_variant_get(node, "$", kind)
-
-
-def _by_kind(node: Column, build: Callable[[Column, Column], Column]) -> Column:
-    """``build`` applied to a variant and the name of its kind."""
-    pair = F.struct(node.alias("node"), F.schema_of_variant(node).alias("kind"))
-    return with_value(pair, lambda p: build(p["node"], p["kind"]))
-
-
-def _is_nested(kind: Column) -> Column:
-    return kind.startswith("OBJECT<") | kind.startswith("ARRAY<")
-
-
-def _is_wide(node: Column, kind: Column) -> Column:
-    """A whole number beyond bigint."""
-    return kind.endswith(",0)") & _get(node, "bigint").isNull()
-
-
-def as_text(node: Column) -> Column:
-    """Missing and nested give '', null gives 'null', scalars their text."""
-    return _by_kind(
-        node,
-        lambda v, kind: F.when(kind.isin("STRING", "BIGINT", "BOOLEAN"), _get(v, "string"))
-        .when(kind == "VOID", "null")
-        .when(kind.isNull() | _is_nested(kind), "")
-        .when(_is_wide(v, kind), _get(v, "string"))
-        .otherwise(_get(v, "double").cast("string")),
-    )
-
-
-def as_int(node: Column) -> Column:
-    """Missing, null and nested give 0; wide numbers wrap, fractions are cut."""
-    return _by_kind(
-        node,
-        lambda v, kind: F.when(kind == "BIGINT", with_value(_get(v, "bigint"), low_32_bits))
-        .when(kind == "STRING", int_in_text(_get(v, "string")))
-        .when(kind == "BOOLEAN", _get(v, "boolean").cast("int"))
-        .when(kind.isNull() | (kind == "VOID") | _is_nested(kind), F.lit(0))
-        .when(
-            _is_wide(v, kind),
-            with_value(_get(v, "decimal(38,0)"), low_32_bits_of_decimal),
-        )
-        .otherwise(with_value(_get(v, "double"), int_from_double)),
-    )
-
-
-def as_double(node: Column) -> Column:
-    """Missing, null, nested and unreadable text give 0.0."""
-    number = _by_kind(
-        node,
-        lambda v, kind: F.when(kind == "STRING", double_in_text(_get(v, "string")))
-        .when(kind == "BOOLEAN", _get(v, "boolean").cast("double"))
-        .when(kind.isNull() | (kind == "VOID") | _is_nested(kind), F.lit(0.0))
-        .otherwise(_get(v, "double")),
-    )
-    return F.coalesce(number, F.lit(0.0))
-
-
-def elements(node: Column) -> Column:
-    """The members of an array, the values of an object, else no elements."""
-    return F.coalesce(
-        _get(node, "array<variant>"),
-        F.map_values(_get(node, "map<string,variant>")),
-        F.array().cast("array<variant>"),
-    )

@@ -1,8 +1,10 @@
-"""Numbers written as text."""
+"""Numbers written as text, as SQL expressions.
 
-from __future__ import annotations
+The functions take and give SQL text: the larger expressions are nested deeply,
+and Spark parses a text far faster than Python builds the same tree.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,18 +12,17 @@ from pyspark.sql import functions as F
 INT_MIN = -(2**31)
 INT_MAX = 2**31 - 1
 
-_BLANKS = "".join(chr(c) for c in range(33))
-_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?$"
-_SPECIAL = r"^[+-]?(NaN|Infinity)$"
+_BLANKS = "'" + "".join(f"\\u{c:04x}" for c in range(33)) + "'"
+_DECIMAL = r"r'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[fFdD]?$'"
+_SPECIAL = "'^[+-]?(NaN|Infinity)$'"
 
 
-def with_value(value: Column, build: Callable[[Column], Column]) -> Column:
-    """``build`` applied to an expression that is evaluated once.
+def let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once.
 
-    Each mention of an expression in a larger one is computed again. Here it
-    is the start value of an aggregate over nothing, and ``build`` its finish.
+    The value is the start of an aggregate over nothing, the body its finish.
     """
-    return F.aggregate(F.array(), value, lambda held, _: held, build)
+    return f"aggregate(array(), {value}, (held, none) -> held, {name} -> {body})"
 
 
 def strict_int(text: Column) -> Column:
@@ -29,44 +30,45 @@ def strict_int(text: Column) -> Column:
     return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
 
 
-def double_in_text(text: Column) -> Column:
+def double_in_text(text: str) -> str:
     """The double a text spells once its outer blanks are gone, else NULL."""
-    bare = F.btrim(text, F.lit(_BLANKS))
-    return F.when(bare.rlike(_DECIMAL) | bare.rlike(_SPECIAL), bare.try_cast("double"))
+    spelled = f"t RLIKE {_DECIMAL} OR t RLIKE {_SPECIAL}"
+    return let(
+        f"btrim({text}, {_BLANKS})", "t", f"CASE WHEN {spelled} THEN try_cast(t AS DOUBLE) END"
+    )
 
 
-def int_in_text(text: Column) -> Column:
+def int_in_text(text: str) -> str:
     """The int a text spells, else 0.
 
     Whole numbers must fit; anything with a fraction or an exponent is read as
     a double and cut to range.
     """
-    bare = F.regexp_replace(F.btrim(text, F.lit(_BLANKS)), r"^\+", "")
-    return with_value(
-        bare,
-        lambda t: F.when(
-            t.rlike("^-?[0-9]+$"), F.coalesce(t.try_cast("int"), F.lit(0))
-        ).otherwise(with_value(double_in_text(t), int_from_double)),
+    whole = "coalesce(try_cast(t AS INT), 0)"
+    other = int_from_double(double_in_text("t"))
+    return let(
+        f"regexp_replace(btrim({text}, {_BLANKS}), r'^\\+', '')",
+        "t",
+        f"CASE WHEN t RLIKE '^-?[0-9]+$' THEN {whole} ELSE {other} END",
     )
 
 
-def int_from_double(number: Column) -> Column:
+def int_from_double(number: str) -> str:
     """Cut towards zero, held to int range; 0 for NULL and NaN."""
-    return (
-        F.when(number.isNull() | F.isnan(number), F.lit(0))
-        .when(number >= float(INT_MAX), F.lit(INT_MAX))
-        .when(number <= float(INT_MIN), F.lit(INT_MIN))
-        .otherwise(number.try_cast("int"))
+    return let(
+        number,
+        "d",
+        f"""CASE WHEN d IS NULL OR isnan(d) THEN 0
+                 WHEN d >= {INT_MAX}D THEN {INT_MAX}
+                 WHEN d <= {INT_MIN}D THEN int({INT_MIN})
+                 ELSE try_cast(d AS INT) END""",
     )
 
 
-def low_32_bits(number: Column) -> Column:
+def low_32_bits(number: str) -> str:
     """A bigint reduced to the int its low 32 bits spell."""
-    low = number.bitwiseAND(F.lit(2**32 - 1))
-    return F.when(low > INT_MAX, low - F.lit(2**32)).otherwise(low).cast("int")
-
-
-def low_32_bits_of_decimal(number: Column) -> Column:
-    """The same for a whole decimal that no bigint holds."""
-    width = F.lit(2**32).cast("decimal(38,0)")
-    return low_32_bits(F.pmod(number, width).cast("bigint"))
+    return let(
+        f"({number}) & {2**32 - 1}L",
+        "low",
+        f"int(CASE WHEN low > {INT_MAX} THEN low - {2**32}L ELSE low END)",
+    )

@@ -8,37 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillworks.functions import (
-    as_double,
-    as_int,
-    as_text,
-    elements,
-    field,
-    malformed,
-    parse_fields,
-    parse_typed,
+    BAD,
+    double_sql,
+    elements_sql,
+    field_sql,
+    int_sql,
+    let,
+    malformed_sql,
+    parse_fields_sql,
+    parse_typed_sql,
     settle,
     surely_double,
     surely_int,
     surely_text,
-    with_value,
+    text_sql,
 )
-from rillworks.functions.json_nodes import BAD
 from rillworks.schemas import DOCUMENT, FALLBACK_FIELDS, PRIMARY_FIELDS
 
 PRIMARY = "primary"
 FALLBACK = "fallback"
 
 
-def _nameless(items: Column) -> Column:
-    return F.exists(items, lambda item: field(item, "name").isNull())
-
-
-def _names(items: Column) -> Column:
-    return F.transform(
-        items, lambda item: F.struct(as_text(field(item, "name")).alias("name"))
-    )
-
-
 _LISTED = "array<struct<name string>>"
 _TYPES = ("string", "string", "string", "string", "string", _LISTED, _LISTED)
 
@@ -68,45 +58,44 @@ def _typed_document(got: Column, names: Sequence[str]) -> tuple[Column, Column]:
     return sure, doc.cast(DOCUMENT)
 
 
-def _variant_document(body: Column, fallback: Column, require_lists: bool) -> Column:
+def _variant_document(body: str, fallback: str, require_lists: bool) -> str:
     """A document from fields of any kind, NULL where the answer holds none."""
-
-    def picked(answer: Column) -> Column:
-        bad = malformed(body, answer) | (fallback & answer["data"].isNull())
-        fields = [
-            F.when(fallback, field(answer["data"], theirs)).otherwise(answer[ours]).alias(ours)
-            for ours, theirs in zip(PRIMARY_FIELDS, FALLBACK_FIELDS)
-        ]
-        return F.struct(bad.alias("bad"), *fields)
-
-    def listed(raw: Column) -> Column:
-        bad = raw["bad"]
-        if require_lists:
-            bad = bad | raw["genres"].isNull() | raw["studios"].isNull()
-        return F.struct(
-            raw.alias("raw"),
-            bad.alias("bad"),
-            elements(raw["genres"]).alias("genres"),
-            elements(raw["studios"]).alias("studios"),
-        )
-
-    def document(parts: Column) -> Column:
-        raw = parts["raw"]
-        doc = F.struct(
-            as_int(raw["id"]).alias("id"),
-            as_text(raw["title"]).alias("title"),
-            as_int(raw["rank"]).alias("rank"),
-            as_double(raw["mean"]).alias("mean"),
-            as_int(raw["num_episodes"]).alias("num_episodes"),
-            _names(parts["genres"]).alias("genres"),
-            _names(parts["studios"]).alias("studios"),
-        ).cast(DOCUMENT)
-        sound = ~(parts["bad"] | _nameless(parts["genres"]) | _nameless(parts["studios"]))
-        return F.when(sound, doc)
-
-    answer = parse_fields(body, (*PRIMARY_FIELDS, "data"))
-    return with_value(
-        answer, lambda a: with_value(picked(a), lambda r: with_value(listed(r), document))
+    fields = [
+        f"'{ours}', if({fallback}, {field_sql('answer.data', theirs)}, answer.`{ours}`)"
+        for ours, theirs in zip(PRIMARY_FIELDS, FALLBACK_FIELDS)
+    ]
+    bad = f"{malformed_sql(body, 'answer')} OR ({fallback} AND answer.data IS NULL)"
+    lists = "raw.genres IS NULL OR raw.studios IS NULL" if require_lists else "false"
+
+    def named(items: str) -> str:
+        name = field_sql("item", "name")
+        return f"transform({items}, item -> named_struct('name', {text_sql(name)}))"
+
+    def nameless(items: str) -> str:
+        return f"exists({items}, item -> {field_sql('item', 'name')} IS NULL)"
+
+    document = f"""named_struct(
+        'id', {int_sql('raw.id')},
+        'title', {text_sql('raw.title')},
+        'rank', {int_sql('raw.rank')},
+        'mean', {double_sql('raw.mean')},
+        'num_episodes', {int_sql('raw.num_episodes')},
+        'genres', {named('lists.genres')},
+        'studios', {named('lists.studios')})"""
+    unsound = f"raw.bad OR {lists} OR {nameless('lists.genres')} OR {nameless('lists.studios')}"
+    return let(
+        parse_fields_sql(body, (*PRIMARY_FIELDS, "data")),
+        "answer",
+        let(
+            f"named_struct('bad', {bad}, {', '.join(fields)})",
+            "raw",
+            let(
+                f"""named_struct('genres', {elements_sql('raw.genres')},
+                                 'studios', {elements_sql('raw.studios')})""",
+                "lists",
+                f"if({unsound}, NULL, {document})",
+            ),
+        ),
     )
 
 
@@ -124,20 +113,21 @@ def normalize_responses(
     as variants, whose rules cover every kind of field.
     """
     provider = F.lit(provider) if isinstance(provider, str) else provider
-    fallback, body = provider == FALLBACK, F.col("body")
-    quick = parse_typed(
-        body, [_columns(PRIMARY_FIELDS), f"`data` struct<{_columns(FALLBACK_FIELDS)}>"]
+    quick = parse_typed_sql(
+        "body", [_columns(PRIMARY_FIELDS), f"`data` struct<{_columns(FALLBACK_FIELDS)}>"]
     )
-    typed = responses.withColumn("_fallback", fallback).withColumn("_quick", quick)
     got, fallback = F.col("_quick"), F.col("_fallback")
     ours_sure, ours = _typed_document(got, PRIMARY_FIELDS)
     theirs_sure, theirs = _typed_document(got["data"], FALLBACK_FIELDS)
     sure = got[BAD].isNull() & F.when(
         fallback, got["data"].isNotNull() & theirs_sure
     ).otherwise(ours_sure)
-    known = typed.withColumn("_sure", F.coalesce(sure, F.lit(False)))
-    checked = known.withColumn(
-        "_slow", F.when(~F.col("_sure"), _variant_document(body, fallback, require_lists))
+    slow = _variant_document("body", "_fallback", require_lists)
+    checked = (
+        responses.withColumn("_fallback", provider == FALLBACK)
+        .withColumn("_quick", F.expr(quick))
+        .withColumn("_sure", F.coalesce(sure, F.lit(False)))
+        .withColumn("_slow", F.expr(f"if(_sure, NULL, {slow})").cast(DOCUMENT))
     )
     doc = F.when(F.col("_sure"), F.when(fallback, theirs).otherwise(ours)).otherwise(
         F.col("_slow")

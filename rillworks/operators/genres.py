@@ -9,17 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillworks.functions import (
+    BAD,
     SURELY_TEXT,
-    as_text,
-    elements,
-    field,
-    malformed,
-    parse_fields,
-    parse_typed,
+    elements_sql,
+    field_sql,
+    let,
+    malformed_sql,
+    parse_fields_sql,
+    parse_typed_sql,
     settle,
-    with_value,
+    text_sql,
 )
-from rillworks.functions.json_nodes import BAD
 from rillworks.schemas import EXPLICIT_GENRES
 
 
@@ -27,14 +27,16 @@ def _free_of(genre_names: Column, explicit: Sequence[str]) -> Column:
     return ~F.arrays_overlap(genre_names, F.array(*[F.lit(g) for g in explicit]))
 
 
-def _node_allowed(text: Column, node: Column, explicit: Sequence[str]) -> Column:
+def _text_allowed(text: str, explicit: Sequence[str]) -> str:
     """No unwanted genre in the JSON; unreadable text and nameless genres fail."""
-
-    def unwanted(name: Column) -> Column:
-        return name.isNull() | as_text(name).isin(*explicit)
-
-    names = F.transform(elements(node["genres"]), lambda g: field(g, "name"))
-    return ~(malformed(text, node) | F.exists(names, unwanted))
+    listed = ", ".join("'" + g.replace("\\", "\\\\").replace("'", "\\'") + "'" for g in explicit)
+    names = f"transform({elements_sql('node.genres')}, g -> {field_sql('g', 'name')})"
+    unwanted = f"exists({names}, n -> n IS NULL OR {text_sql('n')} IN ({listed}))"
+    return let(
+        parse_fields_sql(text, ("genres",)),
+        "node",
+        f"NOT ({malformed_sql(text, 'node')} OR {unwanted})",
+    )
 
 
 def _with_allowed(
@@ -46,7 +48,6 @@ def _with_allowed(
     unwanted names look like words: then no number or object equals one. Only
     other records are parsed as variants.
     """
-    text = F.col("value")
     wordy = all(re.match(SURELY_TEXT, genre) for genre in explicit)
     got, names = F.col("_quick"), F.col("_quick.genres.name")
     settled = (
@@ -55,18 +56,13 @@ def _with_allowed(
         & got[BAD].isNull()
         & (names.isNull() | ~F.exists(names, lambda n: n.isNull()))
     )
-    typed = records.withColumn("_read", read).withColumn(
-        "_quick",
-        F.when(F.col("_read"), parse_typed(text, ["`genres` array<struct<name string>>"])),
-    )
-    checked = typed.withColumn("_sure", F.coalesce(settled, F.lit(False))).withColumn(
-        "_slow",
-        F.when(
-            F.col("_read") & ~F.col("_sure"),
-            with_value(
-                parse_fields(text, ("genres",)), lambda n: _node_allowed(text, n, explicit)
-            ),
-        ),
+    quick = parse_typed_sql("value", ["`genres` array<struct<name string>>"])
+    slow = _text_allowed("value", explicit)
+    checked = (
+        records.withColumn("_read", read)
+        .withColumn("_quick", F.expr(f"if(_read, {quick}, NULL)"))
+        .withColumn("_sure", F.coalesce(settled, F.lit(False)))
+        .withColumn("_slow", F.expr(f"if(_read AND NOT _sure, {slow}, NULL)"))
     )
     allowed = (
         F.when(~F.col("_read"), known)

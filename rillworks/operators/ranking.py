@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillworks.functions import as_int, elements, field, malformed, parse_fields
+from rillworks.functions import (
+    elements_sql,
+    field_sql,
+    int_sql,
+    let,
+    malformed_sql,
+    parse_fields_sql,
+)
 from rillworks.schemas import RANK_PAGE, RANK_TOTAL
 
 
@@ -40,18 +47,14 @@ def page_documents(ranked: DataFrame) -> DataFrame:
 
 def _page_items(pages: DataFrame) -> DataFrame:
     """Add ``_ids``, NULL per entry without an id, and ``_bad`` for the page."""
-    parsed = pages.withColumn("_page", parse_fields(F.col("value"), ("data",)))
-    node = F.col("_page")
-    ids = F.transform(
-        elements(node["data"]), lambda entry: field(field(entry, "node"), "id")
-    )
-    listed = parsed.withColumn("_ids", ids)
-    return listed.withColumn(
-        "_bad",
-        malformed(F.col("value"), node)
-        | node["data"].isNull()
-        | F.exists("_ids", lambda i: i.isNull()),
+    ids = f"transform({elements_sql('page.data')}, e -> {field_sql(field_sql('e', 'node'), 'id')})"
+    bad = f"{malformed_sql('value', 'page')} OR page.data IS NULL OR exists(ids, i -> i IS NULL)"
+    read = let(
+        parse_fields_sql("value", ("data",)),
+        "page",
+        let(ids, "ids", f"named_struct('_ids', ids, '_bad', {bad})"),
     )
+    return pages.withColumn("_read", F.expr(read)).select(*pages.columns, "_read.*")
 
 
 def page_ids(pages: DataFrame) -> DataFrame:
@@ -65,7 +68,7 @@ def page_ids(pages: DataFrame) -> DataFrame:
         F.col("_ids")
     )
     return items.select(*pages.columns, F.posexplode(sound).alias("place", "_id")).select(
-        *pages.columns, "place", as_int(F.col("_id")).cast("string").alias("id")
+        *pages.columns, "place", F.expr(int_sql("_id")).cast("string").alias("id")
     )
 
 

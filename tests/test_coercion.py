@@ -8,7 +8,14 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rillworks.functions import as_double, as_int, as_text, parse_fields, read_fields, strict_int
+from rillworks.functions import (
+    double_sql,
+    int_sql,
+    parse_fields_sql,
+    read_fields,
+    strict_int,
+    text_sql,
+)
 
 # document, int, text, double of field "f"
 GOLDEN = [
@@ -60,9 +67,9 @@ MALFORMED = [None, "bad{", '{"f":1,', "{'f':1}", '{"f":NaN}', '{"f":01}', '{"f":
 
 def _coerced(spark, docs):
     df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, v string")
-    parsed = df.withColumn("n", parse_fields(F.col("v"), ["f"]))
-    node = F.col("n.f")
-    rows = parsed.select("i", as_int(node), as_text(node), as_double(node)).orderBy("i").collect()
+    parsed = df.withColumn("n", F.expr(parse_fields_sql("v", ["f"])))
+    typed = [F.expr(sql("n.f")) for sql in (int_sql, text_sql, double_sql)]
+    rows = parsed.select("i", *typed).orderBy("i").collect()
     return [tuple(r)[1:] for r in rows]
 
 
