@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillworks.functions import read_fields
@@ -16,9 +16,17 @@ def with_lookup_id(requests: DataFrame, id_field: str = ID_FIELD) -> DataFrame:
     return read.withColumn("lookup_id", found).drop("malformed")
 
 
-def _matching(requests: DataFrame, lookup: Column, documents: DataFrame, how: str) -> DataFrame:
-    side = documents.withColumnRenamed("id", "_doc_id")
-    return requests.join(side, lookup == side["_doc_id"], how).drop("_doc_id")
+def with_documents(requests: DataFrame, documents: DataFrame, how: str) -> DataFrame:
+    """Join the catalogue on ``lookup_id``; small catalogues get broadcast.
+
+    One id may have most of the requests. Adaptive execution splits such a
+    partition, but only where both sides come straight from an exchange made
+    for the join. The wider key keeps the catalogue from bringing the
+    partitions of its own grouping instead.
+    """
+    side = documents.withColumn("_doc_id", F.col("id").cast("bigint")).drop("id")
+    lookup = F.col("lookup_id").cast("bigint")
+    return requests.join(side, lookup == F.col("_doc_id"), how).drop("_doc_id")
 
 
 def enrich_or_drop(
@@ -26,7 +34,7 @@ def enrich_or_drop(
 ) -> DataFrame:
     """Requests with their document as ``value``; the others are lost."""
     asked = with_lookup_id(requests, id_field)
-    joined = _matching(asked, F.col("lookup_id"), documents, "inner")
+    joined = with_documents(asked, documents, "inner")
     return joined.withColumn("value", F.col("document")).drop("document", "lookup_id")
 
 
@@ -41,7 +49,7 @@ def enrich_or_pass(
     asked = with_lookup_id(requests, id_field).withColumn(
         "lookup_id", F.when(F.col("key").isNotNull(), F.col("lookup_id"))
     )
-    joined = _matching(asked, F.col("lookup_id"), documents, "left")
+    joined = with_documents(asked, documents, "left")
     return joined.withColumns(
         {
             "value": F.coalesce("document", "value"),

@@ -32,10 +32,13 @@ def keep_whole_units(
 ) -> DataFrame:
     """Only lines of units without any bad (or blank) line.
 
-    The bad units shrink to one row each before the exchange; the anti join
-    then leaves every good line where the size of that list allows it.
+    The bad units shrink to one row each before the exchange. Where that list
+    is small the anti join leaves the lines in place; where it is not, a unit
+    with most of the lines is split, for which the join has a key of its own.
     """
     bad = parsed.where("not ok").select(unit)
     if blanks is not None:
         bad = bad.union(blanks.select(unit))
-    return parsed.join(bad.distinct(), unit, "left_anti")
+    key = F.concat(F.lit("unit "), unit).alias("_unit")
+    bad = bad.distinct().select(key)
+    return parsed.select("*", key).join(bad, "_unit", "left_anti").drop("_unit")

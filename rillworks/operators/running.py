@@ -18,10 +18,18 @@ STRETCH = 1 << 20
 
 
 def _in_stretches(
-    df: DataFrame, position: Sequence[str], stretch: int
+    df: DataFrame, keys: Sequence[str], position: Sequence[str], stretch: int
 ) -> tuple[DataFrame, list[str]]:
-    cut = F.floor(F.col(position[-1]) / F.lit(stretch)).cast("bigint")
-    return df.withColumn("_stretch", cut), [*position[:-1], "_stretch"]
+    """Rows brought together by key and stretch, in the one exchange they need.
+
+    The windows and the totals below both start from it, so the input is read
+    and parsed once.
+    """
+    parts = [*position[:-1], "_stretch"]
+    # Never NULL, so that the join adds no filter to one side of it only.
+    stretch_of = F.expr(f"coalesce(`{position[-1]}` div {stretch}, 0)")
+    cut = df.withColumn("_stretch", stretch_of)
+    return cut.repartition(*[F.col(c) for c in (*keys, *parts)]), parts
 
 
 def _before_stretch(
@@ -45,11 +53,15 @@ def running_count(
     into: str,
     stretch: int = STRETCH,
 ) -> DataFrame:
-    """Number the rows of each key from 1 in position order. No NULL keys."""
-    cut, parts = _in_stretches(df, position, stretch)
+    """Number the rows of each key from 1 in position order. No NULL keys.
+
+    Totals count the position, so that both uses of the exchange need the same
+    columns and share it.
+    """
+    cut, parts = _in_stretches(df, keys, position, stretch)
     within = Window.partitionBy(*keys, *parts).orderBy(position[-1])
     numbered = cut.withColumn("_n", F.row_number().over(within).cast("bigint"))
-    before = _before_stretch(cut, keys, parts, F.count(F.lit(1)), "sum")
+    before = _before_stretch(cut, keys, parts, F.count(position[-1]), "sum")
     n = F.col("_n") + F.coalesce(F.col("_carried"), F.lit(0))
     return numbered.join(before, [*keys, *parts]).select(*df.columns, n.alias(into))
 
@@ -63,7 +75,7 @@ def running_max(
     stretch: int = STRETCH,
 ) -> DataFrame:
     """Largest ``of`` on the strictly earlier rows of each key. No NULL keys."""
-    cut, parts = _in_stretches(df.withColumn("_of", of), position, stretch)
+    cut, parts = _in_stretches(df.withColumn("_of", of), keys, position, stretch)
     within = (
         Window.partitionBy(*keys, *parts)
         .orderBy(position[-1])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillworks.operators.enrich import with_lookup_id
+from rillworks.operators.enrich import with_documents, with_lookup_id
 from rillworks.schemas import ID_FIELD
 
 
@@ -29,9 +29,7 @@ def last_documents(
         .groupBy("key", "lookup_id")
         .agg(F.max("offset").alias("offset"))
     )
-    found = asked.join(
-        documents.select(F.col("id").alias("lookup_id"), "document"), "lookup_id"
-    )
+    found = with_documents(asked, documents.select("id", "document"), "inner")
     latest = F.max(F.struct("offset", "document")).alias("latest")
     return found.groupBy("key").agg(latest).select(
         "key", F.col("latest.document").alias("value"), "latest.offset"
