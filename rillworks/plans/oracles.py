@@ -235,8 +235,7 @@ ORACLES: dict[str, str] = {
     "rank_pages": f"WITH {_RANKED} SELECT id, rank, (rank - 1) // 20 AS page FROM ranked",
     "rank_page_explode": f"""
         WITH {_RANKED}
-        SELECT (rank - 1) // 20 AS page, CAST((rank - 1) % 20 AS INTEGER) AS place,
-               CAST(id AS VARCHAR) AS id
+        SELECT CAST((rank - 1) % 20 AS INTEGER) AS place, CAST(id AS VARCHAR) AS id
         FROM ranked""",
     "ranked_details": f"""
         WITH {_RANKED}, {_CATALOGUE}

@@ -36,7 +36,14 @@ from rillworks.sinks import (
     write_index,
     write_topic_stream,
 )
-from rillworks.sources import blank_units, read_lines, read_topic, stream_topic
+from rillworks.sources import (
+    blank_units,
+    read_lines,
+    read_pages,
+    read_responses,
+    read_topic,
+    stream_topic,
+)
 from rillworks.streaming import (
     changelog_stream,
     drain,
@@ -161,7 +168,11 @@ def nested_prune(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalogue_merge(spark: SparkSession, sf: str) -> DataFrame:
-    return _documents(spark, sf).select("id", "provider", F.col("document").alias("value"))
+    primary, fallback = scratch_dir(spark, "primary"), scratch_dir(spark, "fallback")
+    derived.primary_responses(spark, sf).write.parquet(primary)
+    derived.fallback_responses(spark, sf).write.parquet(fallback)
+    documents = catalogue(read_responses(spark, primary), read_responses(spark, fallback))
+    return documents.select("id", "provider", F.col("document").alias("value"))
 
 
 def enrich_drop(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,7 +297,9 @@ def rank_pages_top(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rank_page_explode(spark: SparkSession, sf: str) -> DataFrame:
-    return page_ids(page_documents(_ranked(spark, sf))).select("page", "place", "id")
+    path = scratch_dir(spark, "pages")
+    page_documents(_ranked(spark, sf)).select("value").write.text(path)
+    return page_ids(read_pages(spark, path)).select("place", "id")
 
 
 def ranked_details(spark: SparkSession, sf: str) -> DataFrame:

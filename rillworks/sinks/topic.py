@@ -45,17 +45,16 @@ def write_topic_stream(
 ) -> DataStreamWriter:
     """A stream to a topic, keeping the positions the records carry.
 
-    The file sink commits each batch once. Kafka is at least once.
+    The file sink commits each batch once. For ``fmt='kafka'``, at least once,
+    ``path`` names the brokers.
     """
-    writer = records.transform(as_topic, topic).writeStream.option(
-        "checkpointLocation", checkpoint
-    )
     if fmt == "kafka":
-        slim = records.select("key", "value").writeStream
-        return (
-            slim.option("checkpointLocation", checkpoint)
-            .format("kafka")
+        writer = (
+            records.select("key", "value")
+            .writeStream.format("kafka")
             .option("topic", topic)
             .option("kafka.bootstrap.servers", path)
         )
-    return writer.format(fmt).outputMode("append").option("path", path)
+    else:
+        writer = as_topic(records, topic).writeStream.format(fmt).option("path", path)
+    return writer.outputMode("append").option("checkpointLocation", checkpoint)

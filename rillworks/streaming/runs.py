@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -65,22 +65,25 @@ def index_stream(
     checkpoint: str,
     explicit: Sequence[str] = EXPLICIT_GENRES,
     topic: str = TOPIC_DOCS,
-    metrics: str | None = None,
+    report: Callable[[int, dict[str, int]], None] | None = None,
     may_repeat: bool = False,
 ) -> DataStreamWriter:
     """Requests to enriched, filtered documents in an index.
 
     Each batch is planned as a batch job of its own, so its join adapts to the
     size and skew it meets, and reads the answers that have landed by then. A
-    batch that is run again replaces its own folders. ``metrics`` names an
-    observation of the delivery counters.
+    batch that is run again replaces its own folders. ``report`` gets the
+    delivery counters of each batch, counted while it is written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         flagged = with_allowed(enrich_or_pass(batch, documents), explicit)
-        if metrics is not None:
-            flagged = flagged.observe(metrics, *delivery_counters())
+        watch = Observation()
+        if report is not None:
+            flagged = flagged.observe(watch, *delivery_counters())
         kept = flagged.where("allowed").withColumn("topic", F.lit(topic))
         write_index(index_rows(kept, may_repeat=may_repeat), root, batch_id)
+        if report is not None:
+            report(batch_id, watch.get)
 
     return requests.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

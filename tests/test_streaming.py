@@ -3,14 +3,12 @@
 import json
 
 import pytest
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rillworks.operators.catalogue import catalogue
 from rillworks.operators.counts import count_changelog, count_messages
 from rillworks.operators.enrich import enrich_or_pass
-from rillworks.operators.genres import exclude_enriched, with_allowed
-from rillworks.operators.metrics import delivery_counters
+from rillworks.operators.genres import exclude_enriched
 from rillworks.operators.payloads import with_username
 from rillworks.schemas import ENVELOPE
 from rillworks.sinks import (
@@ -152,12 +150,18 @@ def test_published_positions_are_unique_and_stable(spark, dirs):
     assert rows.select("partition", "offset").distinct().count() == 200
 
 
-def test_counters_are_observed(spark, dirs):
+def test_each_batch_reports_its_counters(spark, dirs):
+    seen = []
     _land(spark, dirs("in"), map(_request, [0, 1, 2, 9]))
-    watch = Observation("delivery")
-    flagged = with_allowed(enrich_or_pass(read_topic(spark, dirs("in")), _documents(spark)))
-    flagged.observe(watch, *delivery_counters()).write.format("noop").mode("overwrite").save()
-    assert watch.get == {
-        "received": 4, "from_primary": 3, "from_fallback": 0, "failed": 1,
-        "filtered_out": 1, "delivered": 3,
-    }
+    for more in ([], [2, 2]):
+        if more:
+            _land(spark, dirs("in"), map(_request, more), 4)
+        stream = stream_topic(spark, dirs("in"))
+        drain(
+            index_stream(
+                stream, _documents(spark), dirs("index"), dirs("ck"),
+                report=lambda batch, counts: seen.append((batch, counts)),
+            )
+        )
+    names = ["received", "from_primary", "from_fallback", "failed", "filtered_out", "delivered"]
+    assert seen == [(0, dict(zip(names, [4, 3, 0, 1, 1, 3]))), (1, dict(zip(names, [2, 2, 0, 0, 2, 0])))]
