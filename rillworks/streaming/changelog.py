@@ -8,15 +8,20 @@ before they become one row per message.
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Executors get these functions with the query and need not install the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RANGE_ROWS = 100_000
 _HELD_KEYS = 50_000
 

@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
         spark__driver__bindAddress="127.0.0.1",
         spark__driver__host="127.0.0.1",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
-        spark__driver__memory="8g",
+        spark__driver__memory="4g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
