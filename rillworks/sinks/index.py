@@ -31,8 +31,19 @@ def index_rows(
     return docs.dropDuplicates(["doc_id"]) if may_repeat else docs
 
 
-def write_index(docs: DataFrame, root: str, batch_id: int = 0) -> None:
-    """Write one batch of documents for all indices in a single job."""
+def write_index(
+    docs: DataFrame, root: str, batch_id: int = 0, index: str | None = None
+) -> None:
+    """Write one batch of documents for all indices in a single job.
+
+    A batch written again replaces what it wrote per index it has rows for.
+    With ``index``, all rows are for that one, and the batch replaces its folder
+    even when no row is left.
+    """
+    if index is not None:
+        home = f"{root}/index={index}/batch_id={batch_id}"
+        docs.drop("index").write.mode("overwrite").parquet(home)
+        return
     (
         docs.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")

@@ -82,7 +82,7 @@ def index_stream(
         if report is not None:
             flagged = flagged.observe(watch, *delivery_counters())
         kept = flagged.where("allowed").withColumn("topic", F.lit(topic))
-        write_index(index_rows(kept, may_repeat=may_repeat), root, batch_id)
+        write_index(index_rows(kept, may_repeat=may_repeat), root, batch_id, topic)
         if report is not None:
             report(batch_id, watch.get)
 

@@ -124,6 +124,16 @@ def test_a_repeated_batch_replaces_itself(spark, dirs):
     assert rows.select("doc_id").distinct().count() == 5
 
 
+def test_a_repeated_batch_can_shrink_to_nothing(spark, dirs):
+    _land(spark, dirs("in"), map(_request, range(5)))
+    docs = index_rows(read_topic(spark, dirs("in")))
+    write_index(docs, dirs("index"), 0, "t")
+    write_index(docs, dirs("index"), 1, "t")
+    write_index(docs.where("false"), dirs("index"), 0, "t")
+    assert read_index(spark, dirs("index")).where("batch_id = 1 and index = 't'").count() == 5
+    assert read_index(spark, dirs("index")).count() == 5
+
+
 def test_truncating_keeps_the_index(spark, dirs):
     _land(spark, dirs("in"), map(_request, range(5)))
     records = read_topic(spark, dirs("in"))
