@@ -8,16 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rillworks.llm.jaccard_join import link_documents
 from rillworks.llm.land import stored
+from rillworks.llm.packing import pack_documents
+from rillworks.llm.token_counts import length_histogram, limits_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = stored(spark, sf_dir, "documents")
+    return limits_report(length_histogram(docs, "byte_bpe_50k.tiktoken", "source"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(stored(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(stored(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op4_token_counts": op4_token_counts,
     "op7_jaccard_join": op7_jaccard_join,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
