@@ -43,7 +43,7 @@ def token_pieces(docs: DataFrame, capacity: int, vocabulary: str) -> DataFrame:
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), map(pa.Scalar.as_py, batch.column(1))):
+            for doc_id, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1))):
                 ids = (encode(text) if text else b"") + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

@@ -30,7 +30,7 @@ def encoded_lengths(docs: DataFrame, vocabulary: str, text_col: str, *keep: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length = rank_length(vocabulary)
         for batch in batches:
-            sizes = [length(t) if t else 0 for t in map(pa.Scalar.as_py, batch.column(0))]
+            sizes = [length(t) if t else 0 for t in (t.as_py() for t in batch.column(0))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(sizes, pa.int64())], [*keep, "length"]
             )
