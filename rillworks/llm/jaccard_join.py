@@ -48,7 +48,7 @@ def _least(n: int | np.ndarray, percent: int):
 
 def _shared(n: int | np.ndarray):
     """Runs that two prefixes must share; longer prefixes share more."""
-    return 1 + n // 25
+    return 1 + n // 40
 
 
 def _text_sets(texts, width: int) -> Iterator[np.ndarray]:
@@ -290,8 +290,8 @@ def link_documents(
     sets = land(text_sets(texts, width, percent), "sets")
     classes = sets.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("node"))
     first = sets.where("id is not null").join(classes, "set_key").where("id = node")
-    runs = first.select("node", "n_shingles", F.explode("head").alias("run")).distinct()
-    needed = F.expr(f"1 + div(div(n_shingles * {percent} + 99, 100), 25)").cast("long")
+    runs = first.select("node", "n_shingles", F.explode("head").alias("run"))
+    needed = F.expr(f"1 + div(div(n_shingles * {percent} + 99, 100), 40)").cast("long")
 
     def sharing(rows: DataFrame) -> DataFrame:
         """Rows of documents with as many shared runs as a link needs."""

@@ -5,32 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
+from rillworks.llm import quality
+from rillworks.llm.decontamination import leaks
 from rillworks.llm.jaccard_join import link_documents
 from rillworks.llm.land import stored
+from rillworks.llm.line_dedup import drop_repeated_lines
 from rillworks.llm.packing import pack_documents
 from rillworks.llm.token_counts import length_histogram, limits_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = stored(spark, sf_dir, "documents")
+    model = quality.fit(docs, quality.grades_of_labels(stored(spark, sf_dir, "labels")))
+    return quality.score(docs, model)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stored(spark, sf_dir, "documents")
     return limits_report(length_histogram(docs, "byte_bpe_50k.tiktoken", "source"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_lines(stored(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        F.col("_lines").alias("n_lines"),
+        F.col("_removed").alias("n_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(stored(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(stored(spark, sf_dir, "documents"), stored(spark, sf_dir, "benchmark"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(stored(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
     "op4_token_counts": op4_token_counts,
+    "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
