@@ -14,6 +14,7 @@ from rillworks.llm.jaccard_join import link_documents
 from rillworks.llm.land import stored
 from rillworks.llm.line_dedup import drop_repeated_lines
 from rillworks.llm.packing import pack_documents
+from rillworks.llm.secrets import scan
 from rillworks.llm.token_counts import length_histogram, limits_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(stored(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(stored(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(stored(spark, sf_dir, "documents"), stored(spark, sf_dir, "benchmark"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,
