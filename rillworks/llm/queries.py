@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from rillworks.llm import quality
 from rillworks.llm.decontamination import leaks
+from rillworks.llm.embedding_dedup import link_vectors
 from rillworks.llm.jaccard_join import link_documents
 from rillworks.llm.land import stored
 from rillworks.llm.line_dedup import drop_repeated_lines
+from rillworks.llm.mixing_lm import score_documents
 from rillworks.llm.packing import pack_documents
 from rillworks.llm.secrets import scan
+from rillworks.llm.suffix_dedup import remove_repeats
 from rillworks.llm.token_counts import length_histogram, limits_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,11 +29,23 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(stored(spark, sf_dir, "documents"))
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(stored(spark, sf_dir, "embeddings"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stored(spark, sf_dir, "documents")
     return limits_report(length_histogram(docs, "byte_bpe_50k.tiktoken", "source"))
 
 
+def op5_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(stored(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(stored(spark, sf_dir, "documents"))
     return kept.select(
@@ -59,7 +74,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_mixing_lm": op5_mixing_lm,
     "op6_line_dedup": op6_line_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_secrets": op8_secrets,
