@@ -9,7 +9,10 @@ nothing). Two documents link when ``100 * |A & B| >= percent * |A | B|``.
 2. A link needs a number of shared runs among the first ones of both sets, so
    only a prefix of each set is shuffled; documents with too few shared runs
    there are done.
-3. What is left is grouped by shared runs. Each group's sets become a prefix
+3. Partners have sizes within ``percent``, so what is left is taken apart by
+   classes of size, and of the runs in a prefix the most frequent ones that a
+   link can do without are set aside. Documents are grouped by the other shared
+   runs. Each group's sets become a prefix
    tree; a set walks it level by level, nodes share the overlap counted above
    them, and subtrees that cannot reach the needed overlap by their lengths, or
    whose sets are linked already, are cut off. Groups above a size are cut into
@@ -27,12 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillworks.llm.land import components, land
+from rillworks.llm.land import broadcast_below, components, land
 from rillworks.llm.text import shingles, slices, words
 
+#: Prefixes must share one run more for so many runs of the set.
+SHARED_PER = 12
+#: Documents up to which their ids go to all tasks; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Runs in one block of a group; a task holds two blocks at most.
 BLOCK_RUNS = 500_000
 #: Sets that walk a tree before its cut-off by links is renewed.
@@ -48,7 +55,7 @@ def _least(n: int | np.ndarray, percent: int):
 
 def _shared(n: int | np.ndarray):
     """Runs that two prefixes must share; longer prefixes share more."""
-    return 1 + n // 40
+    return 1 + n // SHARED_PER
 
 
 def _text_sets(texts, width: int) -> Iterator[np.ndarray]:
@@ -235,6 +242,40 @@ class PrefixTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
+def close_groups(flat: np.ndarray, at: np.ndarray, percent: int) -> list[np.ndarray]:
+    """Sets that share one of their rarest runs, the fewest that a link must share one of."""
+    _, run, count = np.unique(flat, return_inverse=True, return_counts=True)
+    size = np.diff(at)
+    of = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((run, count[run], of))
+    place = np.arange(len(flat)) - np.repeat(at[:-1], size)
+    head = (place < (size - _least(size, percent) + 1)[of]) & (count[run[order]] > 1)
+    of, run = of[head], run[order][head]
+    label = np.arange(len(size))
+    while True:
+        low = np.full(len(count), len(size))
+        np.minimum.at(low, run, label[of])
+        new = label.copy()
+        np.minimum.at(new, of, low[run])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    order = np.argsort(label, kind="stable")
+    cuts = np.flatnonzero(np.diff(label[order])) + 1
+    return [group for group in np.split(order, cuts) if len(group) > 1]
+
+
+def all_links(flat: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
+    """Label of each set: the first set that it is linked to, itself included."""
+    label = np.arange(len(at) - 1)
+    for group in close_groups(flat, at, percent):
+        size = np.diff(at)[group]
+        own = np.concatenate([flat[at[i] : at[i + 1]] for i in group])
+        label[group] = group[tree_links(own, np.cumsum([0, *size]), percent)]
+    return label
+
+
 def tree_links(flat: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
     """Label of each set: the smallest position among the sets it is linked to."""
     tree = PrefixTree(flat, at)
@@ -275,7 +316,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         runs = runs.chunk(0) if isinstance(runs, pa.ChunkedArray) else runs
         at = runs.offsets.to_numpy().astype(np.int64)
         flat = runs.values.to_numpy()[at[0] : at[-1]]
-        label = tree_links(flat, at - at[0], percent)
+        label = all_links(flat, at - at[0], percent)
         apart = np.flatnonzero(nodes != nodes[label])
         return pa.table({"a": nodes[apart], "b": nodes[label][apart]})
 
@@ -291,21 +332,29 @@ def link_documents(
     classes = sets.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("node"))
     first = sets.where("id is not null").join(classes, "set_key").where("id = node")
     runs = first.select("node", "n_shingles", F.explode("head").alias("run"))
-    needed = F.expr(f"1 + div(div(n_shingles * {percent} + 99, 100), 40)").cast("long")
+    needed = F.expr(f"1 + div(div(n_shingles * {percent} + 99, 100), {SHARED_PER})").cast("long")
 
-    def sharing(rows: DataFrame) -> DataFrame:
+    def sharing(rows: DataFrame, *who: str) -> DataFrame:
         """Rows of documents with as many shared runs as a link needs."""
-        met = rows.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run")
+        met = rows.groupBy("run").agg(F.count("*").alias("n")).where("n > 1")
         kept = rows.join(met, "run")
-        enough = kept.groupBy("node", "n_shingles").agg(F.count("*").alias("n")).where(F.col("n") >= needed)
-        return kept.join(enough.select("node"), "node", "left_semi")
-
-    left = land(sharing(runs), "runs")
-    left = land(sharing(left), "runs")
-    hub = left.groupBy("run").agg(F.min("node").alias("b"))
-    coarse = components(left.join(hub, "run").select(F.col("node").alias("a"), "b").where("a <> b"), "groups")
+        enough = kept.groupBy(*who, "n_shingles").agg(F.count("*").alias("m")).where(F.col("m") >= needed)
+        return kept.join(enough.select(*who), [*who], "left_semi")
+
+    left = land(sharing(runs, "node").drop("n"), "runs")
+    # Sizes of partners lie in one class or in neighbours: both documents enter the upper one.
+    size_class = F.floor(F.log(F.col("n_shingles")) / F.lit(float(np.log(100 / percent)) * (1 + 1e-9)))
+    left = left.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
+    left = left.withColumn("run", F.xxhash64("run", "class"))
+    left = land(sharing(left, "node", "class"), "runs")
+    # Of the runs that prefixes share, a link can miss the most frequent ones but for one.
+    by_count = Window.partitionBy("node", "class").orderBy(F.desc("n"), "run")
+    rare = left.withColumn("place", F.row_number().over(by_count)).where(F.col("place") >= needed)
+    rare = land(rare.select("node", "n_shingles", "run"), "rare")
+    hub = rare.groupBy("run").agg(F.min("node").alias("b"))
+    coarse = components(rare.join(hub, "run").select(F.col("node").alias("a"), "b").where("a <> b"), "groups")
     members = land(
-        left.select("node", "n_shingles").distinct().join(coarse, "node"), "members"
+        rare.select("node", "n_shingles").distinct().join(coarse, "node"), "members"
     )
     blocks = F.ceil(F.col("runs") / BLOCK_RUNS).cast("int")
     sizes = members.groupBy("component").agg(F.sum("n_shingles").alias("runs"))
@@ -322,11 +371,11 @@ def link_documents(
             ).alias("part"),
         )
     )
-    bodies = texts.where("id is not null").join(
-        members.select(F.col("node").alias("id")).distinct(), "id", "left_semi"
-    )
+    parts = land(parts.distinct(), "parts")
+    wanted = broadcast_below(parts.withColumnRenamed("node", "id"), parts.count(), BROADCAST_IDS)
+    bodies = texts.where("id is not null").join(wanted, "id").select("id", "part", "text")
     # One text per class: copies have the same set, other texts of the same id too are kept.
-    whole = _whole_sets(bodies.join(parts.withColumnRenamed("node", "id"), "id").select("id", "part", "text"), width)
+    whole = _whole_sets(bodies, width)
     linked = components(_links(whole, percent), "linked")
     named = classes.join(linked, classes.node == linked.node, "left").select(
         "set_key", F.coalesce("component", classes.node).alias("component_id")

@@ -105,9 +105,12 @@ def repeated_lines(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "d
         .where("a <> b")
         .select("print")
     )
+    # Written first, so that the join below can split the places of a hot fingerprint.
+    shared = land(shared, "prints")
     met = windows.join(shared, "print").select("id", "of", "line", "n_lines", "whole")
     first = met.groupBy("whole").agg(F.min(F.struct("id", "of", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = met.join(first.select("whole", "first"), "whole").where(F.struct("id", "of", "line") > F.col("first"))
+    first = land(first.select("whole", "first"), "first")
+    later = met.join(first, "whole").where(F.struct("id", "of", "line") > F.col("first"))
     lines = later.select(
         "id", "of", F.explode(F.sequence(F.col("line"), F.col("line") + F.col("n_lines") - 1)).alias("line")
     )
