@@ -5,12 +5,14 @@ else, in the same or another text, is removed; all strings are judged on the
 input.
 
 1. Each text marks anchors: the smallest hash of ``ANCHOR`` bytes in every
-   window of ``LENGTH`` bytes. Equal strings have equal anchors, so only the
-   surroundings of anchors that occur twice can hold repeats.
-2. Surroundings go to shards by their anchor. A shard builds the suffix array of
-   its stretches of text by Larsson-Sadakane refinement (only groups that are
-   not settled are sorted again, by the rank half a length on), common prefixes
-   by Kasai's rule, and takes from them the strings that start at two places.
+   window of ``LENGTH`` bytes. Equal windows have equal anchors, so only windows
+   of anchors that occur twice can be repeats.
+2. The windows of such an anchor, one stretch of text, go to a shard by the
+   anchor. Equal stretches are one there, all of whose windows are repeats. Of
+   the different ones a shard builds the suffix array by Larsson-Sadakane
+   refinement (only groups that are not settled are sorted again, by the rank
+   half a length on), common prefixes by Kasai's rule, and takes from them the
+   strings that start at two places.
 3. An anchor at very many places is spread over several shards. Those also send
    one row per distinct string, and the sorted rows of all shards are merged by
    binary search.
@@ -35,23 +37,29 @@ from rillworks.llm.land import land
 from rillworks.llm.text import prefix_hashes, slices, spans
 
 LENGTH = 200
-ANCHOR = 96
+ANCHOR = 32
 #: Places of an anchor that one shard takes; more are spread.
 HOT_PLACES = 2_000
-#: Bytes of surroundings per shard, about.
+#: Bytes of stretches per shard, about.
 SHARD_BYTES = 384 << 10
 #: Starts of windows hashed at once.
 _SEGMENT = 128 << 10
 #: Positions up to 2^21 let a sort carry two ranks and a position in one number.
 _PACK = 21
-_FIRST = 5
+_FIRST_BITS = 42
 _CROSS_RANGES = 1 << 10
 
 
-def anchors(data: np.ndarray, at: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the anchors of all texts ``data[at[i]:at[i + 1]]``."""
+def anchors(
+    data: np.ndarray, at: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of all texts ``data[at[i]:at[i + 1]]``, in order.
+
+    ``(place, hash, first, last)``: the first and last start of the windows,
+    which follow each other, that the anchor stands for.
+    """
     span = length - anchor + 1
-    places, hashes = [], []
+    found: list[list[np.ndarray]] = [[], [], [], []]
     for seg in range(0, max(len(data) - length + 1, 0), _SEGMENT):
         part = data[seg : seg + _SEGMENT + length - 1]
         n = len(part) - length + 1
@@ -65,13 +73,22 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int = LENGTH, anchor: int
         low = np.minimum(low[:n], low[span - width : span - width + n])
         where = np.arange(seg, seg + n)
         end = at[np.searchsorted(at, where, "right")]
-        picked = np.unique((low[where + length <= end] & np.uint64((1 << _PACK) - 1)).astype(np.int64))
-        places.append(picked + seg)
-        hashes.append(value[picked])
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    place, first = np.unique(np.concatenate(places), return_index=True)
-    return place, np.concatenate(hashes)[first]
+        inside = np.flatnonzero(where + length <= end)
+        if not len(inside):
+            continue
+        picked = (low[inside] & np.uint64((1 << _PACK) - 1)).astype(np.int64)
+        head = np.flatnonzero(np.append(True, picked[1:] != picked[:-1]))
+        tail = np.append(head[1:], len(picked)) - 1
+        for column, x in zip(found, (picked[head] + seg, value[picked[head]], inside[head] + seg, inside[tail] + seg)):
+            column.append(x)
+    if not found[0]:
+        none = np.zeros(0, np.int64)
+        return none, np.zeros(0, np.uint64), none, none
+    place, value, first, last = (np.concatenate(x) for x in found)
+    # An anchor that two segments have found is one.
+    head = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    tail = np.append(head[1:], len(place)) - 1
+    return place[head], value[head], first[head], last[tail]
 
 
 def suffix_array(data: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,14 +101,17 @@ def suffix_array(data: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndar
     bits = np.uint64(_PACK)
     packed = n < 1 << _PACK
     each = np.arange(n, dtype=np.uint64)
+    # A byte counts by its rank among those that occur, from 1; an end counts as 0.
+    used = np.bincount(data, minlength=256) > 0
+    symbol = (np.cumsum(used) * used).astype(np.uint64)[data]
+    kinds = int(used.sum()) + 1
+    half = int(_FIRST_BITS / np.log2(max(kinds, 2)))
     key = np.zeros(n, np.uint64)
-    for k in range(_FIRST):
-        # A byte counts from 1, the end of the stretch as 0.
+    for k in range(half):
         byte = np.zeros(n, np.uint64)
-        byte[: n - k] = data[k:]
-        byte[: n - k] += np.uint64(1)
+        byte[: max(n - k, 0)] = symbol[k:]
         byte[np.arange(n) + k >= end] = 0
-        key = key * np.uint64(257) + byte
+        key = key * np.uint64(kinds) + byte
     if packed:
         both = np.sort(key << bits | each)
         order = (both & np.uint64((1 << _PACK) - 1)).astype(np.int64)
@@ -103,7 +123,7 @@ def suffix_array(data: np.ndarray, end: np.ndarray, depth: int) -> tuple[np.ndar
     first = np.flatnonzero(head)
     group = first[np.cumsum(head) - 1] if n else first
     rank[order] = group
-    half = _FIRST
+    half = min(half, depth)
     while half < depth:
         step = min(half, depth - half)
         # Groups of one are settled; only the others are sorted again.
@@ -173,7 +193,7 @@ def common_prefixes(data: np.ndarray, end: np.ndarray, order: np.ndarray, most:
     return np.minimum(value[order], most)
 
 
-def _repeats(data: np.ndarray, end: np.ndarray, identity: np.ndarray, length: int):
+def _repeats(data: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(starts, one_of_each, is_repeat)``: starts of strings at two places; distinct strings."""
     order, _ = suffix_array(data, end, length)
     shared = common_prefixes(data, end, order, length)
@@ -183,51 +203,8 @@ def _repeats(data: np.ndarray, end: np.ndarray, identity: np.ndarray, length: in
     # with the direct neighbour is one with the usable neighbour.
     head = np.append(True, shared[1:] < length) if len(order) else np.zeros(0, bool)
     first = np.flatnonzero(head)
-    if not len(first):
-        return np.zeros(0, np.int64), order, head
-    of = identity[order]
-    low, high = np.minimum.reduceat(of, first), np.maximum.reduceat(of, first)
-    repeat = low != high
     size = np.diff(np.append(first, len(order)))
-    return np.sort(order[np.repeat(repeat, size)]), order[first], repeat
-
-
-def _stretches(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of the surroundings, overlaps joined; the end of each byte's stretch; its text and place."""
-    of = table.column("of").to_pylist()
-    start = table.column("start").to_pylist()
-    body = table.column("body").to_pylist()
-    out, ends, owners, places, last, stop = bytearray(), [], [], [], None, 0
-    for o, s, b in zip(of, start, body):
-        if o == last and s <= stop:
-            extra = s + len(b) - stop
-            if extra > 0:
-                out += b[len(b) - extra :]
-                stop += extra
-                ends[-1] = len(out)
-        else:
-            owners.append(o)
-            places.append((s, len(out)))
-            out += b
-            ends.append(len(out))
-            last, stop = o, s + len(b)
-    size = np.diff([0, *ends])
-    data = np.frombuffer(bytes(out), np.uint8)
-    end = np.repeat(np.array(ends, np.int64), size)
-    shift = np.array([s - a for s, a in places], np.int64)
-    place = np.arange(len(data)) + np.repeat(shift, size)
-    return data, end, np.repeat(np.array(owners, np.int64), size), place
-
-
-def _runs(owner: np.ndarray, place: np.ndarray, starts: np.ndarray, length: int) -> pa.Table:
-    """Covered bytes ``(of, start, stop)`` of strings that start at ``starts``."""
-    if not len(starts):
-        return pa.table({"of": pa.array([], pa.int64()), "start": pa.array([], pa.int64()), "stop": pa.array([], pa.int64())})
-    of, at = owner[starts], place[starts]
-    new = np.append(True, (of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1))
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return pa.table({"of": of[first], "start": at[first], "stop": at[last] + length})
+    return np.sort(order[np.repeat(size > 1, size)]), order[first], size > 1
 
 
 _FOUND = "of long, start long, stop long, w1 long, w2 long"
@@ -235,28 +212,61 @@ _FOUND = "of long, start long, stop long, w1 long, w2 long"
 
 def _search_shard(length: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("of", "ascending"), ("start", "ascending")])
-        data, end, owner, place = _stretches(table)
-        # One number per place in the input: the same place may lie in two stretches only
-        # of different shards, so within a shard the position in ``data`` names it.
-        starts, one, repeat = _repeats(data, end, np.arange(len(data)), length)
-        found = _runs(owner, place, starts, length)
-        none = pa.nulls(found.num_rows, pa.int64())
-        found = found.append_column("w1", none).append_column("w2", none)
-        if table.column("spread")[0].as_py():
-            prefix = prefix_hashes(data)
-            first = spans(prefix, one, one + length)
-            second = spans(prefix_hashes(data ^ np.uint8(0x5B)), one, one + length)
+        anchor = table.column("anchor").to_pylist()
+        of, start = table.column("of").to_numpy(), table.column("start").to_numpy()
+        spread = table.column("spread")[0].as_py()
+        # Equal stretches of an anchor are one; several places make all its windows repeats.
+        number: dict[tuple[int, bytes], int] = {}
+        which = np.array([number.setdefault(x, len(number)) for x in zip(anchor, table.column("body").to_pylist())], np.int64)
+        members = np.bincount(which)
+        kinds = np.unique([a for a, _ in number], return_inverse=True, return_counts=True)
+        several = kinds[2][kinds[1]] > 1
+        bodies = [body for _, body in number]
+        whole = members > 1
+        # Anchors with one stretch have nothing left to compare, unless other shards do.
+        compared = np.flatnonzero(several | spread)
+        data = np.frombuffer(b"".join(bodies[i] for i in compared), np.uint8)
+        size = np.array([len(bodies[i]) for i in compared], np.int64)
+        begin = np.cumsum(size) - size
+        end = np.repeat(begin + size, size)
+        own = np.repeat(compared, size)
+        starts, one, repeat = _repeats(data, end, length)
+        repeat = repeat | whole[own[one]]
+        at = {}
+        for i, a, b in zip(compared.tolist(), np.searchsorted(starts, begin), np.searchsorted(starts, begin + size)):
+            at[i] = starts[a:b] - begin[np.searchsorted(compared, i)]
+        out: tuple[list, list, list] = ([], [], [])
+        for row, (i, o, s) in enumerate(zip(which.tolist(), of.tolist(), start.tolist())):
+            if whole[i]:
+                runs = [(0, len(bodies[i]))]
+            else:
+                mine = at.get(i, ())
+                if not len(mine):
+                    continue
+                cut = np.flatnonzero(np.diff(mine) != 1)
+                runs = zip(mine[np.append(0, cut + 1)].tolist(), (mine[np.append(cut, len(mine) - 1)] + length).tolist())
+            for a, b in runs:
+                for column, x in zip(out, (o, s + a, s + b)):
+                    column.append(x)
+        kind = pa.int64()
+        none = pa.nulls(len(out[0]), kind)
+        found = pa.table([*(pa.array(c, kind) for c in out), none, none], ["of", "start", "stop", "w1", "w2"])
+        if spread:
+            holder = np.full(len(bodies), -1)
+            holder[which[::-1]] = np.arange(len(which))[::-1]
+            row = holder[own[one]]
+            place = start[row] + one - begin[np.searchsorted(compared, own[one])] if len(one) else one
+            prefix, other = prefix_hashes(data), prefix_hashes(data ^ np.uint8(0x5B))
             more = pa.table(
                 {
-                    "of": pa.array(owner[one], pa.int64(), mask=repeat),
-                    "start": pa.array(place[one], pa.int64(), mask=repeat),
-                    "stop": pa.array(place[one] + length, pa.int64(), mask=repeat),
-                    "w1": pa.array(first.view(np.int64)),
-                    "w2": pa.array(second.view(np.int64)),
+                    "of": pa.array(of[row], kind, mask=repeat),
+                    "start": pa.array(place, kind, mask=repeat),
+                    "stop": pa.array(place + length, kind, mask=repeat),
+                    "w1": pa.array(spans(prefix, one, one + length).view(np.int64)),
+                    "w2": pa.array(spans(other, one, one + length).view(np.int64)),
                 }
             )
-            found = pa.concat_tables([found.cast(more.schema), more])
+            found = pa.concat_tables([found, more])
         return found
 
     return run
@@ -271,12 +281,8 @@ def _merge_shards(table: pa.Table) -> pa.Table:
     distinct = keys[edge]
     left = np.searchsorted(distinct, keys)  # binary search in the merged run
     known = table.column("of").is_valid().to_numpy()
-    # One place can lie in several shards: two rows count where their places differ,
-    # and a shard that saw the string twice has settled it.
-    of, at = (table.column(c).fill_null(-1).to_numpy() for c in ("of", "start"))
-    head = edge[left]
-    differs = (of != of[head]) | (at != at[head]) | ~known
-    held = np.bincount(left, weights=differs, minlength=len(edge))[left] > 0
+    # A string of two shards is a repeat; one that a shard saw twice it has settled.
+    held = np.bincount(left, minlength=len(edge))[left] > 1
     table = table.filter(pa.array(held & known))
     return table.select(["of", "start", "stop"])
 
@@ -295,32 +301,34 @@ def removed_runs(
         for batch in batches:
             for texts in slices(batch.column(1)):
                 n = len(texts.at) - 1
-                place, value = anchors(texts.data, texts.at, length)
+                place, value, first, last = anchors(texts.data, texts.at, length)
                 row = np.searchsorted(texts.at, place, "right") - 1
                 cut = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+                # First start, and how many more follow, as one number.
+                span = (first - texts.at[row] << 8) | (last - first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, n),
                         pa.ListArray.from_arrays(cut, value.view(np.int64)),
-                        pa.ListArray.from_arrays(cut, place - texts.at[row]),
+                        pa.ListArray.from_arrays(cut, span),
                     ],
-                    ["of", "anchor", "place"],
+                    ["of", "anchor", "span"],
                 )
 
-    marked = land(rows.select("of", "text").mapInArrow(mark, "of long, anchor array<long>, place array<long>"), "anchors")
-    flat = marked.select("of", F.explode(F.arrays_zip("anchor", "place")).alias("x")).select("of", "x.anchor", "x.place")
-    met = flat.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    marked = land(rows.select("of", "text").mapInArrow(mark, "of long, anchor array<long>, span array<long>"), "anchors")
+    flat = marked.select("of", F.explode(F.arrays_zip("anchor", "span")).alias("x")).select("of", "x.anchor", "x.span")
+    # Written first, so that the join below can split the places of a hot anchor.
+    met = land(flat.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "shared-anchors")
     # Copies of a text count as places here; among candidates below a text is once.
     kept = flat.join(met, "anchor").groupBy("of").agg(
-        F.collect_set(F.struct("place", "anchor", "n")).alias("found")
+        F.collect_set(F.struct("span", "anchor", "n")).alias("found")
     )
     first = rows.groupBy("of").agg(F.min("row").alias("row"))
     texts = land(
         kept.join(first, "of").join(rows, ["of", "row"]).dropDuplicates(["of", "row"]).select("of", "text", "found"),
         "surroundings",
     )
-    around = length - ANCHOR
-    total = texts.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0] * (length + around)
+    total = texts.agg(F.coalesce(F.sum(F.size("found")), F.lit(0))).first()[0] * (2 * length - ANCHOR)
     shards = max(1, -(-total // SHARD_BYTES))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,23 +337,23 @@ def removed_runs(
                 data = text.encode()
                 rows: list[tuple] = []
                 for x in found:
-                    start = max(x["place"] - around, 0)
+                    start, more = x["span"] >> 8, x["span"] & 255
                     spread = x["n"] > HOT_PLACES
                     if spread:
-                        salt = (of ^ x["place"] * 0x9E3779B1) % -(-x["n"] // HOT_PLACES)
+                        salt = (of ^ start * 0x9E3779B1) % -(-x["n"] // HOT_PLACES)
                         shard = f"{x['anchor']}:{salt}"
                     else:
                         shard = str(x["anchor"] % shards)
-                    rows.append((shard, spread, of, start, data[start : x["place"] + length]))
+                    rows.append((shard, spread, x["anchor"], of, start, data[start : start + more + length]))
                 if rows:
                     yield pa.RecordBatch.from_pylist(
                         [dict(zip(sent_schema.names, r)) for r in rows], schema=sent_schema
                     )
 
     sent_schema = pa.schema(
-        [("shard", pa.string()), ("spread", pa.bool_()), ("of", pa.int64()), ("start", pa.int64()), ("body", pa.binary())]
+        [("shard", pa.string()), ("spread", pa.bool_()), ("anchor", pa.int64()), ("of", pa.int64()), ("start", pa.int64()), ("body", pa.binary())]
     )
-    sent = texts.mapInArrow(send, "shard string, spread boolean, of long, start long, body binary")
+    sent = texts.mapInArrow(send, "shard string, spread boolean, anchor long, of long, start long, body binary")
     found = land(sent.groupBy("shard").applyInArrow(_search_shard(length), _FOUND), "repeats")
     crossed = (
         found.where("w1 is not null")
