@@ -52,10 +52,18 @@ def parse_fields_sql(text: str, fields: Sequence[str]) -> str:
     return parse_typed_sql(text, [f"`{name}` variant" for name in fields])
 
 
-def malformed_sql(text: str, node: str) -> str:
-    """Not JSON at all. Empty text and non-objects are legal: no fields."""
-    broken = f"({node}.{BAD} IS NOT NULL AND try_parse_json({text}) IS NULL)"
-    return f"({text} IS NULL OR {broken})"
+def malformed_sql(text: str, node: str | None = None) -> str:
+    """Not JSON at all. Empty text and non-objects are legal: no fields.
+
+    Read as plain text, so neither the fields that are asked for nor a setting
+    for repeated names has a say. What is no object is read as a field of one.
+    ``node``, parsed from the same text before, only saves the work.
+    """
+    plain = f"{parse_typed_sql(text, ['`_any` string'])}.{BAD} IS NOT NULL"
+    wrapped = f"concat('{{\"_any\":', {text}, '}}')"
+    inner = f"{parse_typed_sql(wrapped, ['`_any` string'])}.{BAD} IS NOT NULL"
+    seen = f"{node}.{BAD} IS NOT NULL AND " if node else ""
+    return f"({text} IS NULL OR ({seen}{plain} AND {inner}))"
 
 
 def field_sql(node: str, name: str) -> str:

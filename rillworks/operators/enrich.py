@@ -26,7 +26,12 @@ def with_documents(requests: DataFrame, documents: DataFrame, how: str) -> DataF
     """
     side = documents.withColumn("_doc_id", F.col("id").cast("bigint")).drop("id")
     lookup = F.col("lookup_id").cast("bigint")
-    return requests.join(side, lookup == F.col("_doc_id"), how).drop("_doc_id")
+    if how == "left":
+        # Requests that can match nothing are spread over keys beyond any id.
+        apart = F.pmod(F.xxhash64(*[c for c in ("key", "value") if c in requests.columns]), F.lit(1 << 20))
+        lookup = F.coalesce(lookup, apart + F.lit(1 << 33))
+    asked = requests.withColumn("_lookup", lookup)
+    return asked.join(side, F.col("_lookup") == F.col("_doc_id"), how).drop("_doc_id", "_lookup")
 
 
 def enrich_or_drop(
@@ -44,18 +49,17 @@ def enrich_or_pass(
     """Every request; ``value`` is the document, or stays raw without one.
 
     ``provider`` says which: primary, fallback or raw. A request without a
-    key cannot be stored and stays raw as well.
+    key cannot be stored and stays raw as well. A catalogue without its
+    documents only names the provider.
     """
     asked = with_lookup_id(requests, id_field).withColumn(
         "lookup_id", F.when(F.col("key").isNotNull(), F.col("lookup_id"))
     )
     joined = with_documents(asked, documents, "left")
-    return joined.withColumns(
-        {
-            "value": F.coalesce("document", "value"),
-            "provider": F.coalesce("provider", F.lit("raw")),
-        }
-    ).drop("document", "lookup_id")
+    new = {"provider": F.coalesce("provider", F.lit("raw"))}
+    if "document" in documents.columns:
+        new["value"] = F.coalesce("document", "value")
+    return joined.withColumns(new).drop("document", "lookup_id")
 
 
 def ids_to_look_up(requests: DataFrame, id_field: str = ID_FIELD) -> DataFrame:

@@ -80,14 +80,23 @@ def exclude_genres(
     return flagged.where("allowed").drop("allowed")
 
 
+def judged(documents: DataFrame, explicit: Sequence[str] = EXPLICIT_GENRES) -> DataFrame:
+    """The catalogue with one flag per id, ``doc_allowed``, in place of its genres."""
+    flag = _free_of(F.col("genre_names"), explicit).alias("doc_allowed")
+    return documents.select(*[c for c in documents.columns if c != "genre_names"], flag)
+
+
 def with_allowed(
     enriched: DataFrame, explicit: Sequence[str] = EXPLICIT_GENRES
 ) -> DataFrame:
     """The same test as ``allowed`` on enriched records, parsing only raw ones.
 
-    Enriched records bring ``genre_names``; those passed through raw do not.
+    Records enriched from a judged catalogue bring ``doc_allowed``, those from a
+    plain one ``genre_names``; those passed through raw have neither.
     """
     raw = F.col("provider") == "raw"
+    if "doc_allowed" in enriched.columns:
+        return _with_allowed(enriched, explicit, raw, F.col("doc_allowed")).drop("doc_allowed")
     return _with_allowed(enriched, explicit, raw, _free_of(F.col("genre_names"), explicit))
 
 

@@ -27,18 +27,13 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def keep_whole_units(
-    parsed: DataFrame, blanks: DataFrame | None = None, unit: str = "file"
-) -> DataFrame:
-    """Only lines of units without any bad (or blank) line.
+def keep_whole_units(parsed: DataFrame, unit: str = "file") -> DataFrame:
+    """Only lines of units without any bad line; a blank line is a bad one.
 
     The bad units shrink to one row each before the exchange. Where that list
     is small the anti join leaves the lines in place; where it is not, a unit
     with most of the lines is split, for which the join has a key of its own.
     """
-    bad = parsed.where("not ok").select(unit)
-    if blanks is not None:
-        bad = bad.union(blanks.select(unit))
     key = F.concat(F.lit("unit "), unit).alias("_unit")
-    bad = bad.distinct().select(key)
+    bad = parsed.where("not ok").select(unit).distinct().select(key)
     return parsed.select("*", key).join(bad, "_unit", "left_anti").drop("_unit")

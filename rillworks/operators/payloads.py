@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillworks.functions import read_fields
+from rillworks.functions import malformed_sql, read_fields
 
 POLICIES = ("skip", "empty", "fail_job")
 
@@ -49,8 +49,8 @@ def normalize_payload(messages: DataFrame, policy: str = "fail_job") -> DataFram
 
 
 def rejected_payloads(messages: DataFrame) -> DataFrame:
-    """The messages whose value is not JSON."""
-    return reject_flagged(read_fields(messages, "value"), F.col("malformed")).drop("malformed")
+    """The messages whose value is not JSON: those that ``skip`` drops."""
+    return reject_flagged(messages, ~is_json("value"))
 
 
 def payload_json() -> Column:
@@ -68,6 +68,11 @@ def with_username(messages: DataFrame) -> DataFrame:
     )
 
 
-def is_json(text: Column) -> Column:
-    """Guard before a write: the text parses."""
-    return F.try_parse_json(text).isNotNull()
+def is_json(text: str) -> Column:
+    """Guard before a write: the text of a column parses; empty text does."""
+    return ~F.expr(malformed_sql(f"`{text}`"))
+
+
+def guarded(records: DataFrame, text: str = "value") -> DataFrame:
+    """Foreign records that may go on to a topic as they are."""
+    return records.where(is_json(text))

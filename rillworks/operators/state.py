@@ -20,17 +20,16 @@ def last_documents(
 ) -> DataFrame:
     """Last document per key, before any filter and from successes only.
 
-    Requests shrink to one row per key and id, on numbers alone, before they
-    meet the catalogue; the document is attached to the winner.
+    Requests that found a document shrink to one row per key, on numbers alone;
+    only those meet the documents.
     """
-    asked = (
-        with_lookup_id(requests, id_field)
-        .where("key is not null and lookup_id is not null")
-        .groupBy("key", "lookup_id")
-        .agg(F.max("offset").alias("offset"))
+    asked = with_lookup_id(requests, id_field).where("key is not null and lookup_id is not null")
+    known = documents.select(F.col("id").cast("bigint").alias("_known"))
+    found = asked.select("key", "offset", F.col("lookup_id").cast("bigint").alias("_asked")).join(
+        known, F.col("_asked") == F.col("_known"), "left_semi"
     )
-    found = with_documents(asked, documents.select("id", "document"), "inner")
-    latest = F.max(F.struct("offset", "document")).alias("latest")
-    return found.groupBy("key").agg(latest).select(
-        "key", F.col("latest.document").alias("value"), "latest.offset"
+    last = found.groupBy("key").agg(
+        F.max_by("_asked", "offset").alias("lookup_id"), F.max("offset").alias("offset")
     )
+    joined = with_documents(last, documents.select("id", "document"), "inner")
+    return joined.select("key", F.col("document").alias("value"), "offset")

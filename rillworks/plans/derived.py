@@ -14,6 +14,8 @@ from rillworks.session import scratch_dir
 
 EXPLICIT = ("PROMO", "Brand#2", "Brand#17")
 BROKEN_SOURCES = ("Brand#2", "Brand#17")
+BLANK_SOURCE = "Brand#5"
+BLANK_HEADER_SOURCE = "Brand#9"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,8 +27,9 @@ def _mod(column: str, n: int) -> Column:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per event, in seven shapes from sound to broken."""
+    """One message per event, in ten shapes from sound to broken."""
     shape = _mod("event_id", 10)
+    odd = _mod("event_id", 30)
     kind = F.col("event_type")
     sound = F.to_json(
         F.struct(
@@ -40,7 +43,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 1, F.concat(F.lit('{"username":null,"id":"12.7","message":"'), kind, F.lit('"}')))
         .when(shape == 2, "bad{")
         .when(shape == 3, '{"username":"","id":true}')
-        .when(shape == 4, '{"username":{"x":1},"id":3000000000,"message":7}')
+        .when(odd == 14, '{"username":{"x":1,"x":2},"id":3000000000,"message":7}')
+        .when(odd == 24, '["u",{"x":1,"x":2}]')
+        .when(shape == 4, '{"username":{"x":1},"id":3000000000,"message":7} trailing')
         .otherwise(sound)
     )
     return table(spark, sf_dir, "events").select(
@@ -61,20 +66,36 @@ def message_topic(spark: SparkSession, sf_dir: str) -> str:
 
 
 def line_files(spark: SparkSession, sf_dir: str) -> str:
-    """One line per part, in a folder per brand, some lines odd, some broken."""
+    """A file per brand with a header and a line per part, some odd, some broken.
+
+    One brand has a blank header, one file has nothing but its header, and lines
+    hold blanks only or a character that no separator may be.
+    """
     path = scratch_dir(spark, "lines")
     key = F.col("p_partkey")
     quoted = F.concat(F.lit('"'), "p_name", F.lit(', deluxe"'))
-    name = F.when(_mod("p_partkey", 10) == 3, quoted).otherwise(F.col("p_name"))
+    name = (
+        F.when(_mod("p_partkey", 10) == 3, quoted)
+        .when(_mod("p_partkey", 10) == 4, F.concat(F.lit("\u0001 "), "p_name"))
+        .otherwise(F.col("p_name"))
+    )
     broken = F.col("p_brand").isin(*BROKEN_SOURCES) & (_mod("p_partkey", 5) == 0)
-    line = F.when(broken, F.concat(key, F.lit(","))).otherwise(
-        F.concat_ws(",", key.cast("string"), name, "p_type")
-    )
-    table(spark, sf_dir, "part").select(
-        line.alias("anime_id,title,type"), F.col("p_brand").alias("source")
-    ).write.partitionBy("source").options(
-        header="true", sep="\u0001", quote="", escape="\u0000"
-    ).csv(path)
+    blank = (F.col("p_brand") == BLANK_SOURCE) & (_mod("p_partkey", 7) == 0)
+    line = (
+        F.when(broken, F.concat(key, F.lit(",")))
+        .when(blank, F.lit(" \t "))
+        .otherwise(F.concat_ws(",", key.cast("string"), name, "p_type"))
+    )
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("source"), F.lit(1).alias("_place"), line.alias("value")
+    )
+    header = F.when(F.col("source") == BLANK_HEADER_SOURCE, F.lit("")).otherwise(
+        F.lit("anime_id,title,type")
+    )
+    sources = parts.select("source").distinct().union(spark.range(1).select(F.lit("empty")))
+    heads = sources.select("source", F.lit(0).alias("_place"), header.alias("value"))
+    ordered = heads.union(parts).repartition("source").sortWithinPartitions("source", "_place")
+    ordered.select("source", "value").write.partitionBy("source").text(path)
     return path
 
 

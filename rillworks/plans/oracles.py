@@ -4,17 +4,23 @@ from __future__ import annotations
 
 _GENRES = "('PROMO', 'Brand#2', 'Brand#17')"
 _BROKEN = "(p_brand IN ('Brand#2', 'Brand#17') AND p_partkey % 5 = 0)"
-_LINE_TITLE = "CASE WHEN p_partkey % 10 = 3 THEN '\"' || p_name ELSE p_name END"
+_BLANK = "(p_brand = 'Brand#5' AND p_partkey % 7 = 0)"
+_LINE_TITLE = (
+    "CASE WHEN p_partkey % 10 = 3 THEN '\"' || p_name "
+    "WHEN p_partkey % 10 = 4 THEN chr(1) || ' ' || p_name ELSE p_name END"
+)
 _LINE_JSON = (
     "'{\"anime_id\":' || p_partkey || ',\"title\":\"' || "
-    "CASE WHEN p_partkey % 10 = 3 THEN '\\\"' || p_name ELSE p_name END || '\"}'"
+    "CASE WHEN p_partkey % 10 = 3 THEN '\\\"' || p_name "
+    "WHEN p_partkey % 10 = 4 THEN '\\u0001 ' || p_name ELSE p_name END || '\"}'"
 )
 _UNWANTED = f"(p_type IN {_GENRES} OR p_brand IN {_GENRES})"
 
 # Messages by shape; ``user`` is what counts, NULL where nothing does.
 _MESSAGES = """
 msg AS (
-  SELECT event_id, user_id, event_type, event_id % 10 AS m,
+  SELECT event_id, user_id, event_type,
+         CASE WHEN event_id % 30 = 24 THEN 24 ELSE event_id % 10 END AS m,
          CASE WHEN event_id % 10 = 1 THEN 'null'
               WHEN event_id % 10 IN (0, 2, 3, 4) THEN NULL
               ELSE 'u' || user_id END AS username
@@ -24,10 +30,11 @@ msg AS (
 _PAYLOAD = """
   SELECT event_id,
          CAST(CASE m WHEN 0 THEN event_id WHEN 1 THEN 12 WHEN 3 THEN 1
-                     WHEN 4 THEN -1294967296 WHEN 2 THEN 0 ELSE event_id END AS INTEGER) AS id,
-         CASE WHEN m = 1 THEN 'null' WHEN m IN (0, 2, 3, 4) THEN ''
+                     WHEN 4 THEN -1294967296 WHEN 2 THEN 0 WHEN 24 THEN 0
+                     ELSE event_id END AS INTEGER) AS id,
+         CASE WHEN m = 1 THEN 'null' WHEN m IN (0, 2, 3, 4, 24) THEN ''
               ELSE 'u' || user_id END AS username,
-         CASE m WHEN 2 THEN '' WHEN 3 THEN '' WHEN 4 THEN '7' ELSE event_type END AS message,
+         CASE m WHEN 2 THEN '' WHEN 3 THEN '' WHEN 24 THEN '' WHEN 4 THEN '7' ELSE event_type END AS message,
          m
   FROM msg
 """
@@ -40,7 +47,10 @@ _RAW_MESSAGE = """
     WHEN 1 THEN '{"username":null,"id":"12.7","message":"' || event_type || '"}'
     WHEN 2 THEN 'bad{'
     WHEN 3 THEN '{"username":"","id":true}'
-    WHEN 4 THEN '{"username":{"x":1},"id":3000000000,"message":7}'
+    WHEN 4 THEN CASE event_id % 30
+      WHEN 14 THEN '{"username":{"x":1,"x":2},"id":3000000000,"message":7}'
+      WHEN 24 THEN '["u",{"x":1,"x":2}]'
+      ELSE '{"username":{"x":1},"id":3000000000,"message":7} trailing' END
     ELSE '{"username":"u' || user_id || '","id":' || event_id || ',"message":"' || event_type || '"}'
   END
 """
@@ -90,7 +100,7 @@ feed AS (
   SELECT CAST(p_partkey AS VARCHAR) AS key, coalesce(cat.provider, 'raw') AS provider,
          coalesce(cat.doc, {_LINE_JSON}) AS value
   FROM part LEFT JOIN cat ON cat.id = p_partkey
-  WHERE NOT {_BROKEN} AND NOT coalesce(cat.unwanted, false))
+  WHERE NOT {_BROKEN} AND NOT {_BLANK} AND NOT coalesce(cat.unwanted, false))
 """
 
 _RANKED = """
@@ -155,12 +165,15 @@ ORACLES: dict[str, str] = {
     "csv_parse": f"""
         SELECT p_brand AS source, CAST(p_partkey AS VARCHAR) AS key,
                CAST(p_partkey AS INTEGER) AS anime_id, {_LINE_TITLE} AS title, {_LINE_JSON} AS value
-        FROM part WHERE NOT {_BROKEN}""",
+        FROM part WHERE NOT {_BROKEN} AND NOT {_BLANK}""",
     "csv_rejects": f"""
-        SELECT p_brand AS source, p_partkey || ',' AS line FROM part WHERE {_BROKEN}""",
+        SELECT p_brand AS source,
+               CASE WHEN {_BROKEN} THEN p_partkey || ',' ELSE ' ' || chr(9) || ' ' END AS line
+        FROM part WHERE {_BROKEN} OR {_BLANK}""",
     "csv_publish_atomic": f"""
         SELECT CAST(p_partkey AS VARCHAR) AS key, {_LINE_JSON} AS value, 'csv-raw' AS topic
-        FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE {_BROKEN})""",
+        FROM part WHERE p_brand NOT IN 
+          (SELECT p_brand FROM part WHERE {_BROKEN} OR {_BLANK})""",
     "normalize_primary": f"""
         WITH {_LANDED} SELECT {_scalars('p_retailprice')} FROM landed WHERE p_partkey % 10 <= 6""",
     "normalize_fallback": f"""
@@ -185,6 +198,34 @@ ORACLES: dict[str, str] = {
     "csv_to_index": f"WITH {_FROM_LINES} SELECT key, provider, value FROM feed",
     "csv_to_index_stream": f"""
         WITH {_FROM_LINES} SELECT 'es-anime-data' AS "index", value FROM feed""",
+    "lines_index_stream": f"""
+        WITH {_FROM_LINES} SELECT 'es-anime-data' AS "index", value FROM feed""",
+    "payload_index": f"""
+        WITH {_MESSAGES}, p AS ({_PAYLOAD})
+        SELECT 'sample-datastream-es' AS "index",
+               '{{"id":' || id || ',"username":"' || username || '","message":"' || message || '"}}' AS value
+        FROM p""",
+    "count_index": _CHANGELOG
+    + f"SELECT 'sample-count-es' AS \"index\", {_COUNT_JSON} AS value FROM log",
+    "ranked_index": f"""
+        WITH {_RANKED}, {_CATALOGUE}
+        SELECT 'to-elastic-search' AS "index", doc AS value FROM ranked JOIN cat ON cat.id = ranked.id""",
+    "strict_index": f"""
+        WITH {_ENRICHED} SELECT 'es-anime-data' AS "index", value FROM enriched
+        WHERE provider <> 'raw' AND NOT unwanted""",
+    "raw_guard": f"""
+        SELECT 'sample-datastream-raw' AS topic, event_id AS "offset", {_RAW_MESSAGE} AS value
+        FROM events WHERE event_id % 10 <> 2""",
+    "published_last": f"SELECT key, value FROM ({_LAST})",
+    "lookup_ids_stream": f"""
+        WITH {_CATALOGUE}
+        SELECT DISTINCT CAST(l_partkey AS INTEGER) AS id
+        FROM lineitem WHERE l_partkey NOT IN (SELECT id FROM cat)""",
+    "last_enriched_stream": f"""
+        WITH {_CATALOGUE}
+        SELECT CAST(user_id AS VARCHAR) AS key, max_by(doc, event_id) AS value,
+               max(event_id) AS "offset"
+        FROM events JOIN cat ON id = event_id GROUP BY user_id""",
     "delivery_metrics": f"""
         WITH {_ENRICHED}
         SELECT count(*) AS received,

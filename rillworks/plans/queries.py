@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillworks.operators.attempts import ERROR, SUCCESS, TIMEOUT, choose_provider, resolve_attempts
-from rillworks.operators.catalogue import FALLBACK, PRIMARY, catalogue, normalize_responses
+from rillworks.operators.catalogue import (
+    FALLBACK,
+    PRIMARY,
+    catalogue,
+    normalize_responses,
+    read_catalogue,
+    write_catalogue,
+)
 from rillworks.operators.counts import count_changelog, count_documents, count_messages
 from rillworks.operators.enrich import (
     enrich_or_drop,
@@ -17,14 +24,24 @@ from rillworks.operators.enrich import (
     ids_pending,
     ids_to_look_up,
 )
-from rillworks.operators.genres import exclude_genres
+from rillworks.operators.genres import exclude_enriched
 from rillworks.operators.lines import keep_whole_units, parse_lines
 from rillworks.operators.metrics import delivery_metrics
-from rillworks.operators.payloads import normalize_payload, rejected_payloads, with_username
+from rillworks.operators.payloads import guarded, normalize_payload, rejected_payloads, with_username
 from rillworks.operators.ranking import page_documents, page_ids, rank_pages
 from rillworks.operators.state import last_documents, last_values
 from rillworks.plans import derived, flows
-from rillworks.schemas import TOPIC_COUNTS, TOPIC_CSV, TOPIC_DOCS, TOPIC_MESSAGES_CLEAN
+from rillworks.schemas import (
+    TOPIC_COUNTS,
+    TOPIC_CSV,
+    TOPIC_DOCS,
+    TOPIC_DOCS_DROP,
+    TOPIC_DOCS_RANKED,
+    TOPIC_MESSAGES,
+    TOPIC_MESSAGES_CLEAN,
+    TOPIC_RANK_IDS,
+    TOPIC_RANK_PAGES,
+)
 from rillworks.session import scratch_dir
 from rillworks.sinks import (
     as_topic,
@@ -37,7 +54,7 @@ from rillworks.sinks import (
     write_topic_stream,
 )
 from rillworks.sources import (
-    blank_units,
+    raw_lines,
     read_lines,
     read_pages,
     read_responses,
@@ -45,12 +62,18 @@ from rillworks.sources import (
     stream_topic,
 )
 from rillworks.streaming import (
+    COUNTS,
+    IDS,
+    LAST,
     changelog_stream,
     drain,
     index_stream,
+    last_documents_stream,
     last_values_stream,
+    line_index_stream,
+    lookup_ids_stream,
+    topic_index_stream,
     total_counts_stream,
-    use_rocksdb_state,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +85,22 @@ def _documents(spark: SparkSession, sf: str, require_lists: bool = False) -> Dat
     )
 
 
+def _written(spark: SparkSession, sf: str, require_lists: bool = False) -> DataFrame:
+    """The catalogue, built once and read from then on."""
+    path = scratch_dir(spark, "catalogue")
+    write_catalogue(_documents(spark, sf, require_lists), path)
+    return read_catalogue(spark, path)
+
+
+def _in_batches(spark: SparkSession, records: DataFrame, topic: str, by: Column, batches: int = 3):
+    """A topic that grows batch by batch; yields its path each time it has grown."""
+    path = scratch_dir(spark, topic)
+    part = F.pmod(F.xxhash64(by), F.lit(batches))
+    for batch in range(batches):
+        publish(records.where(part == batch), topic, path, batch)
+        yield path
+
+
 def _joined(lists: str) -> F.Column:
     return F.array_join(F.col(f"doc.{lists}.name"), "|").alias(lists)
 
@@ -109,12 +148,11 @@ def message_count_stream(spark: SparkSession, sf: str) -> DataFrame:
     keyed = with_username(stream_topic(spark, derived.message_topic(spark, sf)))
     path, checkpoint = scratch_dir(spark, "totals"), scratch_dir(spark, "checkpoint")
     drain(total_counts_stream(keyed, path, checkpoint))
-    changes = spark.read.parquet(path)
+    changes = spark.read.schema(COUNTS).parquet(path)
     return changes.groupBy("username").agg(F.max("message_count").alias("message_count"))
 
 
 def message_count_changelog_stream(spark: SparkSession, sf: str) -> DataFrame:
-    use_rocksdb_state(spark)
     keyed = with_username(stream_topic(spark, derived.message_topic(spark, sf)))
     path, checkpoint = scratch_dir(spark, "changelog"), scratch_dir(spark, "checkpoint")
     records = count_documents(changelog_stream(keyed))
@@ -138,7 +176,7 @@ def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
 def csv_publish_atomic(spark: SparkSession, sf: str) -> DataFrame:
     path = derived.line_files(spark, sf)
     parsed = parse_lines(read_lines(spark, path))
-    whole = keep_whole_units(parsed, blank_units(spark, path, "source"), "source")
+    whole = keep_whole_units(parsed, "source")
     topic = scratch_dir(spark, "csv-raw")
     publish(whole.select("key", "value"), TOPIC_CSV, topic)
     return read_topic(spark, topic).select("key", "value", "topic")
@@ -189,7 +227,7 @@ def enrich_passthrough(spark: SparkSession, sf: str) -> DataFrame:
 
 def genre_exclude(spark: SparkSession, sf: str) -> DataFrame:
     enriched = enrich_or_pass(derived.requests(spark, sf), _documents(spark, sf))
-    return exclude_genres(enriched, derived.EXPLICIT).select("key", "value")
+    return exclude_enriched(enriched, derived.EXPLICIT).select("key", "value")
 
 
 def enriched_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,20 +251,75 @@ def csv_to_index(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_to_index_stream(spark: SparkSession, sf: str) -> DataFrame:
     parsed = parse_lines(read_lines(spark, derived.line_files(spark, sf)))
-    topic, root = scratch_dir(spark, "csv-raw"), scratch_dir(spark, "index")
-    publish(flows.line_requests(parsed).select("key", "value"), TOPIC_CSV, topic)
-    drain(
-        index_stream(
-            stream_topic(spark, topic),
-            _documents(spark, sf),
-            root,
-            scratch_dir(spark, "checkpoint"),
-            derived.EXPLICIT,
-        )
-    )
+    asked = flows.line_requests(parsed).select("key", "value")
+    documents, root = _written(spark, sf), scratch_dir(spark, "index")
+    checkpoint = scratch_dir(spark, "checkpoint")
+    for topic in _in_batches(spark, asked, TOPIC_CSV, F.col("key")):
+        stream = stream_topic(spark, topic)
+        drain(index_stream(stream, documents, root, checkpoint, "feed", derived.EXPLICIT))
+    return read_index(spark, root).select("index", "value")
+
+
+def lines_index_stream(spark: SparkSession, sf: str) -> DataFrame:
+    documents, root = _written(spark, sf), scratch_dir(spark, "index")
+    lines = raw_lines(spark, derived.line_files(spark, sf), streaming=True)
+    checkpoint = scratch_dir(spark, "checkpoint")
+    drain(line_index_stream(lines, documents, root, checkpoint, "lines", derived.EXPLICIT))
+    return read_index(spark, root).select("index", "value")
+
+
+def _indexed(spark: SparkSession, topic: str, writer: str) -> DataFrame:
+    """A published topic taken to its index by a stream."""
+    root, checkpoint = scratch_dir(spark, "index"), scratch_dir(spark, "checkpoint")
+    drain(topic_index_stream(stream_topic(spark, topic), root, checkpoint, writer))
     return read_index(spark, root).select("index", "value")
 
 
+def payload_index(spark: SparkSession, sf: str) -> DataFrame:
+    clean = flows.clean_messages(derived.messages(spark, sf), policy="empty")
+    topic = scratch_dir(spark, "clean")
+    publish(clean, TOPIC_MESSAGES_CLEAN, topic)
+    return _indexed(spark, topic, "messages")
+
+
+def count_index(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = with_username(stream_topic(spark, derived.message_topic(spark, sf)))
+    topic, checkpoint = scratch_dir(spark, "changelog"), scratch_dir(spark, "checkpoint")
+    drain(write_topic_stream(count_documents(changelog_stream(keyed)), TOPIC_COUNTS, topic, checkpoint))
+    return _indexed(spark, topic, "counts")
+
+
+def ranked_index(spark: SparkSession, sf: str) -> DataFrame:
+    pages, ids, details = (scratch_dir(spark, n) for n in ("pages", "ids", "details"))
+    no_key = F.lit(None).cast("string").alias("key")
+    publish(page_documents(_ranked(spark, sf)).select(no_key, "value"), TOPIC_RANK_PAGES, pages)
+    entries = page_ids(read_topic(spark, pages))
+    publish(entries.select(no_key, F.col("id").alias("value")), TOPIC_RANK_IDS, ids)
+    asked = read_topic(spark, ids).select(F.col("value").alias("id"))
+    publish(flows.id_details(asked, _documents(spark, sf, True)), TOPIC_DOCS_RANKED, details)
+    return _indexed(spark, details, "ranking")
+
+
+def strict_index(spark: SparkSession, sf: str) -> DataFrame:
+    feed = flows.enriched_feed_strict(derived.requests(spark, sf), _documents(spark, sf), derived.EXPLICIT)
+    hop, topic = scratch_dir(spark, "enriched"), scratch_dir(spark, "filtered")
+    publish(feed.select("key", "value"), TOPIC_DOCS_DROP, hop)
+    publish(guarded(read_topic(spark, hop)).select("key", "value"), TOPIC_DOCS, topic)
+    return _indexed(spark, topic, "strict")
+
+
+def raw_guard(spark: SparkSession, sf: str) -> DataFrame:
+    sound = guarded(derived.messages(spark, sf))
+    return as_topic(sound, TOPIC_MESSAGES).select("topic", "offset", "value")
+
+
+def published_last(spark: SparkSession, sf: str) -> DataFrame:
+    topic = scratch_dir(spark, "csv-raw")
+    asked = derived.user_requests(spark, sf).repartition(7)
+    publish(asked, TOPIC_CSV, topic, order=["offset"], partitions=3)
+    return last_values(read_topic(spark, topic)).select("key", "value")
+
+
 def delivery_counts(spark: SparkSession, sf: str) -> DataFrame:
     return delivery_metrics(
         derived.requests(spark, sf), _documents(spark, sf), derived.EXPLICIT
@@ -277,13 +370,31 @@ def last_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     derived.user_requests(spark, sf).write.parquet(topic)
     path, checkpoint = scratch_dir(spark, "last"), scratch_dir(spark, "checkpoint")
     drain(last_values_stream(stream_topic(spark, topic), path, checkpoint))
-    return last_values(spark.read.parquet(path))
+    return last_values(spark.read.schema(LAST).parquet(path))
 
 
 def last_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return last_documents(derived.user_requests(spark, sf), _documents(spark, sf))
 
 
+def last_enriched_stream(spark: SparkSession, sf: str) -> DataFrame:
+    documents, path = _written(spark, sf), scratch_dir(spark, "last")
+    checkpoint, topic = scratch_dir(spark, "checkpoint"), scratch_dir(spark, "csv-raw")
+    asked = derived.user_requests(spark, sf)
+    for batch in range(3):
+        asked.where(F.col("offset") % 3 == batch).write.mode("append").parquet(topic)
+        drain(last_documents_stream(stream_topic(spark, topic), documents, path, checkpoint))
+    return last_values(spark.read.schema(LAST).parquet(path))
+
+
+def lookup_ids_over_batches(spark: SparkSession, sf: str) -> DataFrame:
+    documents, path = _written(spark, sf), scratch_dir(spark, "pending")
+    checkpoint = scratch_dir(spark, "checkpoint")
+    for topic in _in_batches(spark, derived.requests(spark, sf), TOPIC_CSV, F.col("value")):
+        drain(lookup_ids_stream(stream_topic(spark, topic), documents, path, checkpoint))
+    return spark.read.schema(IDS).parquet(path).select("id")
+
+
 # Ranking
 
 
@@ -365,6 +476,13 @@ QUERIES: dict[str, Query] = {
     "enriched_feed_strict": enriched_feed_strict,
     "csv_to_index": csv_to_index,
     "csv_to_index_stream": csv_to_index_stream,
+    "lines_index_stream": lines_index_stream,
+    "payload_index": payload_index,
+    "count_index": count_index,
+    "ranked_index": ranked_index,
+    "strict_index": strict_index,
+    "raw_guard": raw_guard,
+    "published_last": published_last,
     "delivery_metrics": delivery_counts,
     "attempt_resolve": attempt_resolve,
     "provider_window": provider_window,
@@ -374,6 +492,8 @@ QUERIES: dict[str, Query] = {
     "last_state": last_state,
     "last_state_stream": last_state_stream,
     "last_enriched": last_enriched,
+    "last_enriched_stream": last_enriched_stream,
+    "lookup_ids_stream": lookup_ids_over_batches,
     "rank_pages": rank_pages_top,
     "rank_page_explode": rank_page_explode,
     "ranked_details": ranked_details,

@@ -54,6 +54,7 @@ INDEX_ROWS = T.StructType(
         T.StructField("doc_id", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("index", T.StringType()),
+        T.StructField("writer", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )

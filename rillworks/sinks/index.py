@@ -1,7 +1,8 @@
 """Document folders that stand for search indices.
 
-One root holds ``index=<name>/batch_id=<n>/`` Parquet folders. A batch owns its
-folders: written again, it replaces what it wrote before.
+One root holds ``index=<name>/writer=<name>/batch_id=<n>/`` Parquet folders. A
+batch of a writer owns its folders: written again, it replaces what it wrote
+before, and nothing of another writer.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from rillworks.schemas import INDEX_ROWS
 
 POSITION = ("topic", "partition", "offset")
+WRITER = "batch"
 
 
 def index_rows(
@@ -21,10 +23,13 @@ def index_rows(
 
     The key plays no part, so a later record never replaces an earlier one.
     ``may_repeat`` drops second copies of a position, at the price of an
-    exchange; a source that cannot replay within a batch does not need it.
+    exchange; a source that cannot replay within a batch does not need it. A
+    record without a position ends the job: it could not be told from another.
     """
+    lost = F.raise_error(F.lit("a record for an index has no position")).cast("string")
+    parts = [F.coalesce(F.col(p).cast("string"), lost) for p in position]
     docs = records.select(
-        F.concat_ws("+", *[F.col(p).cast("string") for p in position]).alias("doc_id"),
+        F.concat_ws("+", *parts).alias("doc_id"),
         "value",
         F.col("topic").alias("index"),
     )
@@ -32,23 +37,28 @@ def index_rows(
 
 
 def write_index(
-    docs: DataFrame, root: str, batch_id: int = 0, index: str | None = None
+    docs: DataFrame,
+    root: str,
+    batch_id: int = 0,
+    index: str | None = None,
+    writer: str = WRITER,
 ) -> None:
-    """Write one batch of documents for all indices in a single job.
+    """Write one batch of documents of one writer for all indices in a single job.
 
     A batch written again replaces what it wrote per index it has rows for.
     With ``index``, all rows are for that one, and the batch replaces its folder
     even when no row is left.
     """
     if index is not None:
-        home = f"{root}/index={index}/batch_id={batch_id}"
+        home = f"{root}/index={index}/writer={writer}/batch_id={batch_id}"
         docs.drop("index").write.mode("overwrite").parquet(home)
         return
     (
-        docs.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        docs.withColumn("writer", F.lit(writer))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("index", "batch_id")
+        .partitionBy("index", "writer", "batch_id")
         .parquet(root)
     )
 
@@ -87,12 +97,12 @@ def truncate_index(spark: SparkSession, root: str, index: str) -> DataFrame:
     before = after = 0
     if existed:
         before = read_index(spark, root).where(same).count()
-        empty = spark.createDataFrame([], INDEX_ROWS).drop("index", "batch_id")
+        empty = spark.createDataFrame([], INDEX_ROWS).drop("index", "writer", "batch_id")
         home = f"{root}/index={index}"
-        empty.withColumn("batch_id", F.lit(0)).write.mode("overwrite").partitionBy(
-            "batch_id"
-        ).parquet(home)
-        empty.write.mode("overwrite").parquet(f"{home}/batch_id=-1")
+        empty.withColumns({"writer": F.lit(WRITER), "batch_id": F.lit(0)}).write.mode(
+            "overwrite"
+        ).partitionBy("writer", "batch_id").parquet(home)
+        empty.write.mode("overwrite").parquet(f"{home}/writer={WRITER}/batch_id=-1")
         after = read_index(spark, root).where(same).count()
     return spark.range(1).select(
         F.lit(index).alias("index"),

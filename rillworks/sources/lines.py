@@ -5,31 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A separator that text does not hold, so that a line stays one column.
-_WHOLE_LINE = {"header": "true", "sep": "\u0001", "quote": "", "escape": "\u0000"}
 
+def raw_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Every line exactly as it is, with its file and where its block starts."""
+    reader = spark.readStream if streaming else spark.read
+    lines = reader.text(path)
+    return lines.select(
+        F.col("value").alias("line"),
+        *[c for c in lines.columns if c != "value"],
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    )
 
-def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Lines after the header of each file, with the file they come from.
 
-    The header is dropped once per file, also when the file is split between
-    tasks. Blank lines do not show up here, see :func:`blank_units`; a file
-    whose very first line is blank loses the line after it too.
+def drop_headers(lines: DataFrame) -> DataFrame:
+    """Raw lines without the first one of each file, whatever it holds.
+
+    A file may be split between tasks; its header is the first row of the block
+    that starts at 0. Rows are numbered while they are scanned, so a stream
+    calls this on each batch.
     """
-    reader = spark.readStream if streaming else spark.read
-    return (
-        reader.schema("line string")
-        .options(**_WHOLE_LINE)
-        .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("file"))
+    placed = lines.withColumn("_row", F.monotonically_increasing_id())
+    heads = (
+        placed.where("block = 0")
+        .groupBy(F.col("file").alias("_file"))
+        .agg(F.min("_row").alias("_head"))
     )
+    first = (F.col("file") == F.col("_file")) & (F.col("_row") == F.col("_head"))
+    return placed.join(heads, first, "left_anti").drop("_row", "block")
 
 
-def blank_units(spark: SparkSession, path: str, unit: str = "file") -> DataFrame:
-    """The files (or other units) that hold an empty line."""
-    return (
-        spark.read.text(path)
-        .select("*", F.col("_metadata.file_path").alias("file"))
-        .where("value = ''")
-        .select(unit)
-    )
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines after the header of each file, with the file they come from.
+
+    Nothing is trimmed, cut or left out: blank lines are lines.
+    """
+    return drop_headers(raw_lines(spark, path))

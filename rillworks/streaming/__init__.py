@@ -1,8 +1,15 @@
 from rillworks.streaming.changelog import changelog_stream  # noqa: F401
 from rillworks.streaming.runs import (  # noqa: F401
+    COUNTS,
+    IDS,
+    LAST,
     drain,
     index_stream,
+    last_documents_stream,
     last_values_stream,
+    line_index_stream,
+    lookup_ids_stream,
+    rocksdb_state,
+    topic_index_stream,
     total_counts_stream,
-    use_rocksdb_state,
 )

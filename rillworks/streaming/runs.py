@@ -2,30 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from rillworks.operators.counts import count_messages
-from rillworks.operators.enrich import enrich_or_pass
-from rillworks.operators.genres import with_allowed
+from rillworks.operators.enrich import enrich_or_pass, with_documents, with_lookup_id
+from rillworks.operators.genres import exclude_enriched, judged, with_allowed
+from rillworks.operators.lines import parse_lines
 from rillworks.operators.metrics import delivery_counters
 from rillworks.schemas import EXPLICIT_GENRES, TOPIC_DOCS
 from rillworks.session import ROCKSDB_PROVIDER
 from rillworks.sinks import index_rows, write_index
+from rillworks.sources import drop_headers
 
 
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB; needed by the changelog."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+COUNTS = "username string, message_count long, batch_id long"
+LAST = "key string, value string, offset long, batch_id long"
+IDS = "id int, first_offset long, batch_id long"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """State of streams started within is kept in RocksDB, not in the heap."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
 
 
 def drain(writer: DataStreamWriter) -> None:
     """Work off what is there now, then stop; raises what the stream raised."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
+    with rocksdb_state(SparkSession.active()):
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
 
 
 def _latest_batch_rows(path: str) -> Callable[[DataFrame, int], None]:
@@ -36,7 +56,7 @@ def _latest_batch_rows(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def total_counts_stream(keyed: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Changed totals of each batch, one folder per batch."""
+    """Changed totals of each batch, one folder per batch; columns ``COUNTS``."""
     return (
         count_messages(keyed)
         .writeStream.outputMode("update")
@@ -46,7 +66,7 @@ def total_counts_stream(keyed: DataFrame, path: str, checkpoint: str) -> DataStr
 
 
 def last_values_stream(records: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Changed last values of each batch, one folder per batch."""
+    """Changed last values of each batch, one folder per batch; columns ``LAST``."""
     latest = F.max(F.struct("offset", "value")).alias("latest")
     return (
         records.groupBy("key")
@@ -58,11 +78,103 @@ def last_values_stream(records: DataFrame, path: str, checkpoint: str) -> DataSt
     )
 
 
+def last_documents_stream(
+    requests: DataFrame, documents: DataFrame, path: str, checkpoint: str
+) -> DataStreamWriter:
+    """Changed last document per key, from successes only and before any filter.
+
+    The state holds two numbers per key; documents join the keys that changed.
+    Give it a written catalogue, as each batch reads it.
+    """
+    known = documents.select(F.col("id").cast("bigint").alias("_known"))
+    asked = (
+        with_lookup_id(requests)
+        .where("key is not null and lookup_id is not null")
+        .select("key", "offset", F.col("lookup_id").cast("bigint").alias("_asked"))
+    )
+    latest = F.max(F.struct("offset", "_asked")).alias("latest")
+    found = asked.join(known, F.col("_asked") == F.col("_known"), "left_semi")
+    write = _latest_batch_rows(path)
+
+    def attach(batch: DataFrame, batch_id: int) -> None:
+        last = batch.select("key", "latest.offset", F.col("latest._asked").alias("lookup_id"))
+        joined = with_documents(last, documents.select("id", "document"), "inner")
+        write(joined.select("key", F.col("document").alias("value"), "offset"), batch_id)
+
+    return (
+        found.groupBy("key")
+        .agg(latest)
+        .writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(attach)
+    )
+
+
+def lookup_ids_stream(
+    requests: DataFrame, documents: DataFrame, path: str, checkpoint: str
+) -> DataStreamWriter:
+    """Ids to look up, each once over all batches, unless a document is there.
+
+    Columns ``IDS``; the offset is the one that asked first in its batch.
+    """
+    asked = with_lookup_id(requests).where("lookup_id is not null").select(
+        F.col("lookup_id").alias("id"), F.col("offset").alias("first_offset")
+    )
+    write = _latest_batch_rows(path)
+
+    def pending(batch: DataFrame, batch_id: int) -> None:
+        write(batch.join(documents.select("id"), "id", "left_anti"), batch_id)
+
+    return (
+        asked.dropDuplicates(["id"])
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(pending)
+    )
+
+
+def topic_index_stream(
+    records: DataFrame, root: str, checkpoint: str, writer: str, may_repeat: bool = False
+) -> DataStreamWriter:
+    """Topic records to the index of their topic, as they are."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_index(index_rows(batch, may_repeat=may_repeat), root, batch_id, writer=writer)
+
+    return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
+def line_index_stream(
+    lines: DataFrame,
+    documents: DataFrame,
+    root: str,
+    checkpoint: str,
+    writer: str,
+    explicit: Sequence[str] = EXPLICIT_GENRES,
+    topic: str = TOPIC_DOCS,
+) -> DataStreamWriter:
+    """Line files, as they land, to enriched and filtered documents in an index.
+
+    ``lines`` is a stream of :func:`raw_lines`. A line's position is its file,
+    as a hash, and its number among the rows of the batch.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_lines(drop_headers(batch)).where("ok")
+        asked = parsed.select("key", "value", F.xxhash64("file").alias("partition"))
+        kept = exclude_enriched(enrich_or_pass(asked, judged(documents, explicit)), explicit)
+        placed = kept.withColumns(
+            {"topic": F.lit(topic), "offset": F.monotonically_increasing_id() + F.lit(batch_id << 48)}
+        )
+        write_index(index_rows(placed, may_repeat=False), root, batch_id, topic, writer)
+
+    return lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
 def index_stream(
     requests: DataFrame,
     documents: DataFrame,
     root: str,
     checkpoint: str,
+    writer: str,
     explicit: Sequence[str] = EXPLICIT_GENRES,
     topic: str = TOPIC_DOCS,
     report: Callable[[int, dict[str, int]], None] | None = None,
@@ -71,18 +183,19 @@ def index_stream(
     """Requests to enriched, filtered documents in an index.
 
     Each batch is planned as a batch job of its own, so its join adapts to the
-    size and skew it meets, and reads the answers that have landed by then. A
-    batch that is run again replaces its own folders. ``report`` gets the
-    delivery counters of each batch, counted while it is written.
+    size and skew it meets. ``documents`` is read by every batch: give it a read
+    of a written catalogue, not a plan over the answers. A batch that is run
+    again replaces its own folders. ``report`` gets the delivery counters of each
+    batch, counted while it is written.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        flagged = with_allowed(enrich_or_pass(batch, documents), explicit)
+        flagged = with_allowed(enrich_or_pass(batch, judged(documents, explicit)), explicit)
         watch = Observation()
         if report is not None:
             flagged = flagged.observe(watch, *delivery_counters())
         kept = flagged.where("allowed").withColumn("topic", F.lit(topic))
-        write_index(index_rows(kept, may_repeat=may_repeat), root, batch_id, topic)
+        write_index(index_rows(kept, may_repeat=may_repeat), root, batch_id, topic, writer)
         if report is not None:
             report(batch_id, watch.get)
 

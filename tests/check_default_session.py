@@ -16,7 +16,7 @@ from tests.compare import spark_result, sql_result
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    wanted = sys.argv[2:] or list(registered.queries())
+    wanted = sys.argv[2:] or list(registered.oracle_sql())
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")

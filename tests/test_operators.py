@@ -14,10 +14,16 @@ from rillworks.operators.enrich import enrich_or_drop, enrich_or_pass, ids_pendi
 from rillworks.operators.genres import exclude_enriched, exclude_genres
 from rillworks.operators.lines import keep_whole_units, parse_lines
 from rillworks.operators.metrics import delivery_metrics
-from rillworks.operators.payloads import apply_policy, normalize_payload, with_username
+from rillworks.operators.payloads import (
+    apply_policy,
+    guarded,
+    normalize_payload,
+    rejected_payloads,
+    with_username,
+)
 from rillworks.operators.ranking import page_ids, rejected_pages
 from rillworks.operators.state import last_documents
-from rillworks.sources import blank_units, read_lines
+from rillworks.sources import read_lines
 
 
 def _values(spark, docs):
@@ -40,7 +46,7 @@ def line_dir(tmp_path_factory):
 def test_lines_are_read_whole_and_parsed(spark, line_dir):
     rows = parse_lines(read_lines(spark, line_dir)).collect()
     by_line = {r.line: r for r in rows}
-    assert len(rows) == 15
+    assert len(rows) == 16
     good = {r.line: (r.key, r.anime_id, r.title) for r in rows if r.ok}
     assert good == {
         "1,x,y": ("1", 1, "x"),
@@ -59,11 +65,36 @@ def test_lines_are_read_whole_and_parsed(spark, line_dir):
 
 def test_one_bad_or_blank_line_holds_back_its_file(spark, line_dir):
     parsed = parse_lines(read_lines(spark, line_dir))
-    whole = keep_whole_units(parsed, blank_units(spark, line_dir))
+    whole = keep_whole_units(parsed)
     assert {r.file.rsplit("/", 1)[-1] for r in whole.select("file").collect()} == {"good.csv"}
     assert whole.count() == 6
 
 
+def test_odd_lines_stay_as_they_are(spark, tmp_path):
+    odd = ["1,a", " \t ", "3,ab\x01cd,e", "\x004,nul", "", "5,z  "]
+    (tmp_path / "odd.csv").write_text("id,title\n" + "\n".join(odd) + "\n")
+    (tmp_path / "blank-header.csv").write_text("\n6,first\n7,second\n")
+    (tmp_path / "header.csv").write_text("id,title\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = read_lines(spark, str(tmp_path)).collect()
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.file.rsplit("/", 1)[-1], []).append(r.line)
+    assert by_file == {"odd.csv": odd, "blank-header.csv": ["6,first", "7,second"]}
+    whole = keep_whole_units(parse_lines(read_lines(spark, str(tmp_path))))
+    assert sorted(r.key for r in whole.collect()) == ["6", "7"]
+
+
+def test_blank_header_of_a_split_file(spark, tmp_path):
+    lines = [f"{i},title {i}" for i in range(20_000)]
+    (tmp_path / "big.csv").write_text("\n" + "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert {r.line for r in read_lines(spark, str(tmp_path)).collect()} == set(lines)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_header_is_dropped_once_from_a_split_file(spark, tmp_path):
     lines = [f"{i},title {i}" for i in range(20_000)]
     (tmp_path / "big.csv").write_text("id,title\n" + "\n".join(lines) + "\n")
@@ -340,3 +371,47 @@ def test_lookup_ids(spark):
     df = _values(spark, ['{"anime_id":1}', '{"anime_id":"x"}', "{}", "bad{", '{"anime_id":2.5}'])
     got = with_lookup_id(df).orderBy("i").collect()
     assert [r.lookup_id for r in got] == [1, 0, None, None, 2]
+
+
+def test_a_record_is_good_or_rejected_whatever_the_session(spark):
+    values = [
+        '{"username":{"a":1,"a":2}}', '{"a":1,"a":2}', '[{"x":1,"x":2}]', "[1]", "5", '"t"', "", " ",
+        '{"id":1} trailing', "bad{", "{", None, '{"id":01}', "[1", '{"a":{"b":}}', "nul", "null", "true",
+    ]
+    df = _values(spark, values)
+    seen = []
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(name)
+    for setting in ("true", "false"):
+        spark.conf.set(name, setting)
+        try:
+            good = {r.i for r in normalize_payload(df, "skip").collect()}
+            bad = {r.i for r in rejected_payloads(df).collect()}
+        finally:
+            spark.conf.set(name, before)
+        assert good | bad == set(range(len(values))) and not good & bad
+        seen.append(bad)
+    assert seen[0] == seen[1] == {values.index(v) for v in ("bad{", "{", None, "[1", '{"a":{"b":}}', "nul", '{"id":01}')}
+    assert {r.i for r in guarded(df).collect()} == set(range(len(values))) - seen[0]
+
+
+def test_requests_without_a_lookup_are_spread(spark):
+    requests = spark.range(40_000).select(
+        F.col("id").cast("string").alias("key"),
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit('{"anime_id":'), "id", F.lit("}"))).otherwise(F.concat(F.lit("bad "), "id")).alias("value"),
+    )
+    documents = spark.createDataFrame([(5, "primary", "{}", ["A"])], "id int, provider string, document string, genre_names array<string>")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        placed = enrich_or_pass(requests, documents).withColumn("task", F.spark_partition_id())
+        tasks = [r["count"] for r in placed.groupBy("task").count().collect()]
+        found = placed.where("provider <> 'raw'").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(tasks) == 40_000 and found == 1 and max(tasks) < 8_000

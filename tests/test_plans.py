@@ -6,16 +6,17 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as registered
 from rillworks.operators.attempts import resolve_attempts
 from rillworks.operators.catalogue import catalogue
 from rillworks.operators.counts import count_changelog, count_messages
 from rillworks.operators.enrich import enrich_or_pass
 from rillworks.operators.payloads import with_username
 from rillworks.plans import derived
+from rillworks.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-BATCH = [n for n in registered.queries() if not n.endswith("_stream") and n != "topic_scan"]
+STREAMS = {"topic_scan", "payload_index", "count_index", "ranked_index", "strict_index"}
+BATCH = [n for n in QUERIES if not n.endswith("_stream") and n not in STREAMS]
 
 
 def plan_of(df) -> str:
@@ -24,7 +25,7 @@ def plan_of(df) -> str:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_and_no_cross_join_in_batch_plans(spark, name):
-    plan = plan_of(registered.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert not re.search(r"Python|InPandas|ArrowEval|CartesianProduct|NestedLoopJoin", plan)
 
 
@@ -36,7 +37,7 @@ def test_messages_are_parsed_once_below_the_filter(spark):
 
 
 def test_only_needed_columns_are_scanned(spark):
-    plan = plan_of(registered.queries()["enrich_drop"](spark, SF))
+    plan = plan_of(QUERIES["enrich_drop"](spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan
 
 
@@ -92,3 +93,15 @@ def test_a_hot_key_is_split_in_the_enrichment_join(spark, tmp_path):
     assert "skew=true" in plan
     assert sum(tasks.values()) == 60_000
     assert max(tasks.values()) < 20_000
+
+
+def test_documents_are_judged_once_per_id(spark):
+    plan = plan_of(QUERIES["enriched_feed_strict"](spark, SF))
+    above = plan[: plan.index("Join")]
+    assert "from_json" not in above and "genre" not in above
+
+
+def test_counting_joins_no_documents(spark):
+    plan = plan_of(QUERIES["delivery_metrics"](spark, SF))
+    joins = [line for line in plan.splitlines() if "document#" in line]
+    assert not joins

@@ -20,12 +20,17 @@ from rillworks.sinks import (
     write_index,
     write_topic_stream,
 )
-from rillworks.sources import read_topic, stream_topic
+from rillworks.operators.state import last_documents, last_values
+from rillworks.sources import raw_lines, read_topic, stream_topic
 from rillworks.streaming import (
+    LAST,
     changelog_stream,
     drain,
     index_stream,
+    last_documents_stream,
     last_values_stream,
+    line_index_stream,
+    rocksdb_state,
     total_counts_stream,
 )
 
@@ -103,9 +108,9 @@ def test_index_over_restarts_equals_batch(spark, dirs):
     at = _land(spark, dirs("in"), map(_request, [0, 1, 2, 3]))
     for more in ([1, 1, 9], [2]):
         stream = stream_topic(spark, dirs("in"))
-        drain(index_stream(stream, documents, dirs("index"), dirs("ck")))
+        drain(index_stream(stream, documents, dirs("index"), dirs("ck"), "feed"))
         at = _land(spark, dirs("in"), map(_request, more), at)
-    drain(index_stream(stream_topic(spark, dirs("in")), documents, dirs("index"), dirs("ck")))
+    drain(index_stream(stream_topic(spark, dirs("in")), documents, dirs("index"), dirs("ck"), "feed"))
     got = read_index(spark, dirs("index")).collect()
     want = exclude_enriched(enrich_or_pass(read_topic(spark, dirs("in")), documents)).collect()
     assert sorted((r.doc_id, r.value) for r in got) == sorted(
@@ -169,9 +174,107 @@ def test_each_batch_reports_its_counters(spark, dirs):
         stream = stream_topic(spark, dirs("in"))
         drain(
             index_stream(
-                stream, _documents(spark), dirs("index"), dirs("ck"),
+                stream, _documents(spark), dirs("index"), dirs("ck"), "feed",
                 report=lambda batch, counts: seen.append((batch, counts)),
             )
         )
     names = ["received", "from_primary", "from_fallback", "failed", "filtered_out", "delivered"]
     assert seen == [(0, dict(zip(names, [4, 3, 0, 1, 1, 3]))), (1, dict(zip(names, [2, 2, 0, 0, 2, 0])))]
+
+
+def test_two_writers_keep_their_documents(spark, dirs):
+    documents = _documents(spark)
+    for writer, ids in (("one", [0, 1, 3]), ("two", [1, 3])):
+        _land(spark, dirs(writer), map(_request, ids))
+        stream = stream_topic(spark, dirs(writer))
+        drain(index_stream(stream, documents, dirs("index"), dirs("ck-" + writer), writer))
+    rows = read_index(spark, dirs("index"))
+    assert {r.writer: r["count"] for r in rows.groupBy("writer").count().collect()} == {"one": 3, "two": 2}
+
+
+def test_a_crash_after_the_sink_leaves_each_document_once(spark, dirs):
+    _land(spark, dirs("in"), map(_request, [0, 1, 3, 9]))
+    documents = _documents(spark)
+
+    def crash(batch, counts):
+        raise RuntimeError("lost after the write")
+
+    stream = lambda report=None: index_stream(
+        stream_topic(spark, dirs("in")), documents, dirs("index"), dirs("ck"), "feed", report=report
+    )
+    with pytest.raises(Exception, match="lost after the write"):
+        drain(stream(crash))
+    assert read_index(spark, dirs("index")).count() == 4
+    drain(stream())
+    ids = [r.doc_id for r in read_index(spark, dirs("index")).collect()]
+    assert len(ids) == len(set(ids)) == 4
+
+
+def test_a_record_without_a_position_is_an_error(spark, dirs):
+    rows = spark.createDataFrame([("k", "v", "t", None, 1, None)], ENVELOPE)
+    with pytest.raises(Exception, match="no position"):
+        index_rows(rows).collect()
+
+
+def test_streamed_topics_have_positions(spark, dirs):
+    _land(spark, dirs("in"), map(_message, "aab"))
+    records = changelog_stream(with_username(stream_topic(spark, dirs("in")))).select(
+        F.col("username").alias("key"), F.col("message_count").cast("string").alias("value")
+    )
+    drain(write_topic_stream(records, "counts", dirs("out"), dirs("ck")))
+    rows = read_topic(spark, dirs("out"))
+    assert rows.where("partition is null or offset is null").count() == 0
+    assert index_rows(rows).count() == 3
+
+
+def test_ordered_publishing_keeps_a_key_together(spark, dirs):
+    df = spark.range(4000).repartition(5).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, (F.col("id") % 50).cast("string")).alias("key"),
+        F.col("id").cast("string").alias("value"),
+        F.col("id").alias("offset"),
+    )
+    publish(df, "t", dirs("topic"), order=["offset"], partitions=4)
+    rows = read_topic(spark, dirs("topic")).collect()
+    assert len({(r.partition, r.offset) for r in rows}) == len(rows) == 4000
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r.key, []).append(r)
+    for key, mine in by_key.items():
+        if key is not None:
+            assert len({r.partition for r in mine}) == 1
+            values = [int(r.value) for r in sorted(mine, key=lambda r: r.offset)]
+            assert values == sorted(values)
+    assert len({r.partition for r in by_key[None]}) == 4
+
+
+def test_last_documents_over_restarts(spark, dirs):
+    documents = _documents(spark)
+    at = _land(spark, dirs("in"), [("a", _request(1)[1]), ("b", _request(0)[1]), (None, _request(1)[1]), ("a", "bad{")])
+    stream = lambda: last_documents_stream(stream_topic(spark, dirs("in")), documents, dirs("out"), dirs("ck"))
+    drain(stream())
+    _land(spark, dirs("in"), [("a", _request(2)[1]), ("b", _request(77)[1]), ("c", _request(3)[1])], at)
+    drain(stream())
+    rows = last_values(spark.read.schema(LAST).parquet(dirs("out")))
+    want = last_documents(read_topic(spark, dirs("in")), documents)
+    assert {tuple(r) for r in rows.collect()} == {tuple(r) for r in want.collect()}
+    assert {(r.key, r.offset) for r in rows.collect()} == {("a", 4), ("b", 1), ("c", 6)}
+
+
+def test_line_files_over_restarts(spark, tmp_path, dirs):
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    documents = _documents(spark)
+    for name, text in (("a.csv", "id,t\n0,x\n9,raw\n"), ("b.csv", "\n2,unwanted\n  \n1,y\n")):
+        (lines / name).write_text(text)
+        stream = raw_lines(spark, str(lines), streaming=True)
+        drain(line_index_stream(stream, documents, dirs("index"), dirs("ck"), "lines"))
+    values = sorted(r.value for r in read_index(spark, dirs("index")).collect())
+    assert len(values) == 3 and '{"anime_id":9,"title":"raw"}' in values
+
+
+def test_state_settings_are_put_back(spark, dirs):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    with rocksdb_state(spark):
+        assert "RocksDB" in spark.conf.get(name)
+    assert spark.conf.get(name) == before
