@@ -15,6 +15,7 @@ from rillworks.llm.jaccard_join import link_documents
 from rillworks.llm.land import stored
 from rillworks.llm.line_dedup import drop_repeated_lines
 from rillworks.llm.mixing_lm import score_documents
+from rillworks.llm.oracles import ORACLES  # noqa: F401
 from rillworks.llm.packing import pack_documents
 from rillworks.llm.secrets import scan
 from rillworks.llm.suffix_dedup import remove_repeats
@@ -85,5 +86,3 @@ QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,
 }
-
-ORACLES: dict[str, str] = {}
