@@ -2,7 +2,7 @@
 
 ``P(grade <= k) = sigmoid(threshold_k - w . x)`` with one weight vector for all
 grades (a cumulative-link model). ``x`` holds the presence of hashed lower-cased
-words, the shares of hashed byte triples, and the shares of repeated words. The
+words and of their first bytes, the shares of hashed byte triples, and the shares of repeated words. The
 expected grade and the probability of the top grade follow from the same score.
 
 The fit takes at most ``PER_GRADE`` rated documents of each grade, those of the
@@ -27,20 +27,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillworks.llm.text import Texts, mix, slices, words
+from rillworks.llm.text import _LOWER, Texts, Words, mix, prefix_hashes, slices, spans, words
 
 #: Rated documents of each grade that the fit may use.
-PER_GRADE = 4_000
-WORD_BITS, TRIPLE_BITS = 18, 14
-N_WORDS, N_TRIPLES = 1 << WORD_BITS, 1 << TRIPLE_BITS
-N_SHARES = 2
-SIZE = N_WORDS + N_TRIPLES + N_SHARES
+PER_GRADE = 3_000
+TRIPLE_BITS = 14
+N_TRIPLES, N_SHARES = 1 << TRIPLE_BITS, 2
+#: Features of every text; those of known words come after them.
+FIXED = N_TRIPLES + N_SHARES
+#: Weight of the absolute values of word weights in the first fit. The slope of a
+#: word is at most its share of the rated documents: a rarer one never starts.
+SPARSE = 3e-3
+#: Bytes of a word's start that are a feature of their own.
+STEM = 4
+#: Words of a smaller weight in the sparse fit are left out of the second.
+LEAST_WEIGHT = 0.3
 #: Triple shares are small numbers; this brings them near the presence of words.
 TRIPLE_SCALE = 8.0
 
 
 class Model(NamedTuple):
     grades: list[int]
+    known: np.ndarray  # hashes of the words and word starts that have a weight, sorted
     weights: np.ndarray
     thresholds: np.ndarray
 
@@ -53,38 +61,41 @@ class Features(NamedTuple):
     value: np.ndarray
 
 
-def features(texts: Texts) -> Features:
-    """Hashed features of every whole text."""
-    n = len(texts.at) - 1
+def word_marks(texts: Texts) -> tuple[np.ndarray, np.ndarray, Words]:
+    """``(hash, row)`` of all words and word starts, in 64 bits, and the words."""
     found = words(texts)
-    slot = (found.hash >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    present, first = np.unique(found.text * SIZE + slot, return_index=True)
+    long = np.flatnonzero(found.end - found.start > STEM)
+    start = found.start[long]
+    stem = mix(spans(prefix_hashes(_LOWER[texts.data]), start, start + STEM))
+    return np.concatenate([found.hash, stem]), np.concatenate([found.text, found.text[long]]), found
+
+
+def features(texts: Texts, known: np.ndarray, marks: tuple | None = None) -> Features:
+    """Features of every whole text."""
+    n = len(texts.at) - 1
+    hashes, of_hash, found = marks or word_marks(texts)
+    at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+    hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+    present = np.unique(of_hash[hit] * max(len(known), 1) + at[hit])
     data = texts.data.astype(np.int64)
     triple = data[:-2] << 16 | data[1:-1] << 8 | data[2:] if len(data) > 2 else np.zeros(0, np.int64)
     row = np.repeat(np.arange(n), np.diff(texts.at))[: len(triple)]
     whole = np.arange(len(triple)) + 3 <= texts.at[row + 1]
     place = (mix(triple[whole].astype(np.uint64)) >> np.uint64(64 - TRIPLE_BITS)).astype(np.int64)
-    size = N_TRIPLES
-    triples, count = np.unique(row[whole] * size + place, return_counts=True)
-    of = triples // size
+    triples, count = np.unique(row[whole] * N_TRIPLES + place, return_counts=True)
+    of = triples // N_TRIPLES
     total = np.maximum(np.bincount(row[whole], minlength=n), 1)
     again = np.zeros(len(found.hash), bool)
     again[1:] = (found.hash[1:] == found.hash[:-1]) & (found.text[1:] == found.text[:-1])
     n_words = np.maximum(np.bincount(found.text, minlength=n), 1)
     repeats = np.bincount(found.text, weights=again, minlength=n) / n_words
-    distinct = np.bincount(found.text[first], minlength=n) / n_words
-    rows = np.concatenate([present // SIZE, of, np.arange(n), np.arange(n)])
+    first_of_each = np.unique(mix(found.hash + mix(found.text.astype(np.uint64))), return_index=True)[1]
+    distinct = np.bincount(found.text[first_of_each], minlength=n) / n_words
+    rows = np.concatenate([of, np.arange(n), np.arange(n), present // max(len(known), 1)])
     index = np.concatenate(
-        [
-            present % SIZE,
-            N_WORDS + triples % size,
-            np.full(n, SIZE - 2),
-            np.full(n, SIZE - 1),
-        ]
-    )
-    value = np.concatenate(
-        [np.ones(len(present)), TRIPLE_SCALE * count / total[of], repeats, distinct]
+        [triples % N_TRIPLES, np.full(n, FIXED - 2), np.full(n, FIXED - 1), FIXED + present % max(len(known), 1)]
     )
+    value = np.concatenate([TRIPLE_SCALE * count / total[of], repeats, distinct, np.ones(len(present))])
     order = np.argsort(rows, kind="stable")
     at = np.searchsorted(rows[order], np.arange(n + 1))
     return Features(at, index[order].astype(np.int32), value[order].astype(np.float32))
@@ -104,7 +115,26 @@ def _shrunk(slope: np.ndarray, w: np.ndarray, sparse: float) -> np.ndarray:
     return np.where(w == 0, at_rest, slope + sparse * np.sign(w))
 
 
-def fit_ordinal(x: Features, grade: np.ndarray, n_grades: int, steps: int = 150, sparse: float = 2e-3) -> tuple[np.ndarray, np.ndarray]:
+def fit_selected(x: Features, n_known: int, grade: np.ndarray, n_grades: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A sparse fit names the known words that matter; a second one fits those freely.
+
+    ``(words kept, weights, thresholds)``.
+    """
+    first, _ = fit_ordinal(x, FIXED + n_known, grade, n_grades, steps=80, sparse=SPARSE)
+    kept = np.abs(first) > LEAST_WEIGHT
+    kept[:FIXED] = True
+    new = np.cumsum(kept) - 1
+    row = np.repeat(np.arange(len(grade)), np.diff(x.at))
+    good = kept[x.index]
+    at = np.searchsorted(row[good], np.arange(len(grade) + 1))
+    chosen = Features(at, new[x.index[good]].astype(np.int32), x.value[good])
+    weights, cuts = fit_ordinal(chosen, int(kept.sum()), grade, n_grades, steps=150, sparse=1e-4, speed=0.25)
+    return kept[FIXED:], weights, cuts
+
+
+def fit_ordinal(
+    x: Features, size: int, grade: np.ndarray, n_grades: int, steps: int, sparse: float, speed: float = 0.05
+) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by Adam on the likelihood of the grades.
 
     ``sparse`` is the weight of the absolute values of word weights: words that
@@ -112,18 +142,13 @@ def fit_ordinal(x: Features, grade: np.ndarray, n_grades: int, steps: int = 150,
     """
     n = len(grade)
     row = np.repeat(np.arange(n), np.diff(x.at))
-    # The slope of a word is at most its share of documents: a rarer one never starts.
-    often = np.bincount(x.index, minlength=SIZE) > sparse * n
-    often[N_WORDS:] = True
-    kept = often[x.index]
-    row, x = row[kept], Features(np.searchsorted(row[kept], np.arange(n + 1)), x.index[kept], x.value[kept])
     gaps = np.zeros(n_grades - 1)
     gaps[0] = -1.0
-    part = np.zeros(SIZE + n_grades - 1)
-    part[SIZE:] = gaps
+    part = np.zeros(size + n_grades - 1)
+    part[size:] = gaps
     first, second = np.zeros_like(part), np.zeros_like(part)
     for step in range(1, steps + 1):
-        w, g = part[:SIZE], part[SIZE:]
+        w, g = part[:size], part[size:]
         cuts = g[0] + np.concatenate([[0.0], np.cumsum(np.exp(g[1:]))])
         s = scores(x, w)
         padded = np.concatenate([[-np.inf], cuts, [np.inf]])
@@ -133,24 +158,24 @@ def fit_ordinal(x: Features, grade: np.ndarray, n_grades: int, steps: int = 150,
         dl, dh = below * (1 - below), above * (1 - above)
         pull = (dl - dh) / p / n  # of the log likelihood, by the score
         slope = np.zeros_like(part)
-        slope[:SIZE] = -np.bincount(x.index, weights=x.value * pull[row], minlength=SIZE)
-        slope[:N_WORDS] = _shrunk(slope[:N_WORDS], w[:N_WORDS], sparse)
+        slope[:size] = -np.bincount(x.index, weights=x.value * pull[row], minlength=size)
+        slope[FIXED:size] = _shrunk(slope[FIXED:size], w[FIXED:], sparse)
         by_cut = np.zeros(n_grades + 1)
         np.add.at(by_cut, grade + 1, dh / p / n)
         np.add.at(by_cut, grade, -dl / p / n)
         by_cut = by_cut[1:-1]
-        slope[SIZE] = -by_cut.sum()
+        slope[size] = -by_cut.sum()
         for k in range(1, n_grades - 1):
-            slope[SIZE + k] = -by_cut[k:].sum() * np.exp(g[k])
+            slope[size + k] = -by_cut[k:].sum() * np.exp(g[k])
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
-        rate = 0.05 * min(1.0, 2 * (1 - step / (steps + 1)))
+        rate = speed * min(1.0, 2 * (1 - step / (steps + 1)))
         moved = part - rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
-        crossed = moved[:N_WORDS] * part[:N_WORDS] < 0  # a word weight stops at nothing
-        moved[:N_WORDS][crossed] = 0
+        crossed = moved[FIXED:size] * part[FIXED:size] < 0  # a word weight stops at nothing
+        moved[FIXED:size][crossed] = 0
         part = moved
-    g = part[SIZE:]
-    return part[:SIZE].astype(np.float32), g[0] + np.concatenate([[0.0], np.cumsum(np.exp(g[1:]))])
+    g = part[size:]
+    return part[:size].astype(np.float32), g[0] + np.concatenate([[0.0], np.cumsum(np.exp(g[1:]))])
 
 
 def _sample(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, per_grade: int):
@@ -177,34 +202,48 @@ def fit(
 ) -> Model:
     """Fit on ``ratings(<id_col>, grade)``; grades are integers, higher is better."""
     grades, rated = _sample(docs, ratings, id_col, text_col, per_grade)
-    empty = Model(grades or [0], np.zeros(SIZE, np.float32), np.zeros(0))
+    none = np.zeros(0, np.uint64)
+    empty = Model(grades or [0], none, np.zeros(FIXED, np.float32), np.zeros(0))
     if rated is None:
         return empty
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column(1)):
-                x, n = features(texts), len(texts.at) - 1
+                marks, n = word_marks(texts), len(texts.at) - 1
+                x = features(texts, none, marks)
+                order = np.lexsort((marks[0], marks[1]))
+                hashes, of = marks[0][order], marks[1][order]
+                new = np.append(True, (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])) if len(of) else np.zeros(0, bool)
+                hashes, cut = hashes[new], np.searchsorted(of[new], np.arange(n + 1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, n),
                         batch.column(2).slice(texts.first, n),
+                        pa.array([hashes[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
                         pa.array([x.index[a:b].tobytes() for a, b in zip(x.at, x.at[1:])], pa.binary()),
                         pa.array([x.value[a:b].astype(np.float16).tobytes() for a, b in zip(x.at, x.at[1:])], pa.binary()),
                     ],
-                    ["id", "grade", "index", "value"],
+                    ["id", "grade", "hashes", "index", "value"],
                 )
 
-    rows = rated.select("id", "text", "grade").mapInArrow(run, "id long, grade int, index binary, value binary")
+    rows = rated.select("id", "text", "grade").mapInArrow(run, "id long, grade int, hashes binary, index binary, value binary")
     rows = rows.toArrow().sort_by("id")
     if not rows.num_rows:
         return empty
-    index = [np.frombuffer(b, np.int32) for b in rows.column("index").to_pylist()]
-    value = [np.frombuffer(b, np.float16) for b in rows.column("value").to_pylist()]
-    at = np.cumsum([0, *map(len, index)])
-    x = Features(at, np.concatenate(index), np.concatenate(value).astype(np.float32))
+    hashes = [np.frombuffer(b, np.uint64) for b in rows.column("hashes").to_pylist()]
+    seen, count = np.unique(np.concatenate(hashes), return_counts=True)
+    known = seen[count > SPARSE * rows.num_rows]
+    index, value = [], []
+    for mine, i, v in zip(hashes, rows.column("index").to_pylist(), rows.column("value").to_pylist()):
+        at = np.minimum(np.searchsorted(known, mine), max(len(known) - 1, 0))
+        at = at[known[at] == mine] if len(known) else at[:0]
+        index.append(np.concatenate([np.frombuffer(i, np.int32), FIXED + at]).astype(np.int32))
+        value.append(np.concatenate([np.frombuffer(v, np.float16).astype(np.float32), np.ones(len(at), np.float32)]))
+    x = Features(np.cumsum([0, *map(len, index)]), np.concatenate(index), np.concatenate(value))
     grade = np.searchsorted(grades, rows.column("grade").to_numpy())
-    return Model(grades, *fit_ordinal(x, grade, len(grades)))
+    kept, weights, cuts = fit_selected(x, len(known), grade, len(grades))
+    return Model(grades, known[kept], weights, cuts)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,7 +252,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in slices(batch.column(1)):
-                s = scores(features(texts), model.weights).astype(np.float64)
+                s = scores(features(texts, model.known), model.weights).astype(np.float64)
                 tails = [_sigmoid(s - cut) for cut in model.thresholds]
                 expected = model.grades[0] + sum(
                     (b - a) * t for a, b, t in zip(model.grades, model.grades[1:], tails)
@@ -253,7 +292,7 @@ def select_documents(
         at = names.index(text_col)
         for batch in batches:
             keep = [
-                _sigmoid(scores(features(texts), model.weights) - model.thresholds[-1]) >= least
+                _sigmoid(scores(features(texts, model.known), model.weights) - model.thresholds[-1]) >= least
                 if len(model.thresholds)
                 else np.ones(len(texts.at) - 1, bool)
                 for texts in slices(batch.column(at))

@@ -25,7 +25,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_thresholds_are_ordered_and_grades_found_again(spark):
     draw, rows, ratings = random.Random(2), [], []
-    for k in range(360):
+    for k in range(1200):
         words = prose(k, 40).split()
         grade = k % 3
         if grade == 1:
@@ -35,11 +35,11 @@ def test_thresholds_are_ordered_and_grades_found_again(spark):
         rows.append((k, " ".join(words)))
         ratings.append((k, grade))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    rated = spark.createDataFrame([r for r in ratings if r[0] < 240], "doc_id long, grade int")
+    rated = spark.createDataFrame([r for r in ratings if r[0] < 900], "doc_id long, grade int")
     model = quality.fit(docs, rated)
     assert model.grades == [0, 1, 2] and model.thresholds[0] < model.thresholds[1]
     got = {r.doc_id: r for r in quality.score(docs, model).collect()}
-    new = [(got[k], g) for k, g in ratings if k >= 240]
+    new = [(got[k], g) for k, g in ratings if k >= 900]
     assert np.mean([(r.top_probability >= 0.5) == (g == 2) for r, g in new]) >= 0.9
     assert np.mean([r.expected_grade for r, g in new if g == 0]) < np.mean([r.expected_grade for r, g in new if g == 2]) - 1
 
