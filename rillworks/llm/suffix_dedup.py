@@ -410,7 +410,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     changed = texts.join(gone, "of").select("of", "text", "runs").mapInArrow(
         cut, "of long, removed long, spans long, sha string"
     )
-    copies = base.groupBy("same").agg(F.count("*").alias("copies")).where("copies > 1")
+    # Written first, so that the join below can split a text of very many copies.
+    copies = land(base.groupBy("same").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
     rows = base.join(copies, "same", "left").join(changed, "of", "left")
     whole = F.col("copies").isNotNull() & (F.col("n_bytes") >= length)
     zero = F.lit(0).cast("long")
