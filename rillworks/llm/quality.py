@@ -24,14 +24,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillworks.llm.text import _LOWER, Texts, Words, mix, prefix_hashes, slices, spans, words
 
 #: Rated documents of each grade that the fit may use.
-PER_GRADE = 3_000
-TRIPLE_BITS = 14
+PER_GRADE = 2_000
+TRIPLE_BITS = 12
 N_TRIPLES, N_SHARES = 1 << TRIPLE_BITS, 2
 #: Features of every text; those of known words come after them.
 FIXED = N_TRIPLES + N_SHARES
@@ -102,7 +103,7 @@ def features(texts: Texts, known: np.ndarray, marks: tuple | None = None) -> Fea
 
 
 def scores(x: Features, weights: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(weights[x.index] * x.value, x.at[:-1]) if len(x.at) > 1 else np.zeros(0)
+    return np.add.reduceat(weights.astype(np.float32)[x.index] * x.value, x.at[:-1], dtype=np.float64) if len(x.at) > 1 else np.zeros(0)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -141,7 +142,7 @@ def fit_ordinal(
     few rated documents hold, or that say nothing of the grade, get none.
     """
     n = len(grade)
-    row = np.repeat(np.arange(n), np.diff(x.at))
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(x.at))
     gaps = np.zeros(n_grades - 1)
     gaps[0] = -1.0
     part = np.zeros(size + n_grades - 1)
@@ -158,7 +159,7 @@ def fit_ordinal(
         dl, dh = below * (1 - below), above * (1 - above)
         pull = (dl - dh) / p / n  # of the log likelihood, by the score
         slope = np.zeros_like(part)
-        slope[:size] = -np.bincount(x.index, weights=x.value * pull[row], minlength=size)
+        slope[:size] = -np.bincount(x.index, weights=x.value * pull.astype(np.float32)[row], minlength=size)
         slope[FIXED:size] = _shrunk(slope[FIXED:size], w[FIXED:], sparse)
         by_cut = np.zeros(n_grades + 1)
         np.add.at(by_cut, grade + 1, dh / p / n)
@@ -228,7 +229,8 @@ def fit(
                 )
 
     rows = rated.select("id", "text", "grade").mapInArrow(run, "id long, grade int, hashes binary, index binary, value binary")
-    rows = rows.toArrow().sort_by("id")
+    rows = rows.toArrow()
+    rows = rows.take(pc.sort_indices(rows.column("id")))
     if not rows.num_rows:
         return empty
     hashes = [np.frombuffer(b, np.uint64) for b in rows.column("hashes").to_pylist()]
@@ -240,8 +242,12 @@ def fit(
         at = at[known[at] == mine] if len(known) else at[:0]
         index.append(np.concatenate([np.frombuffer(i, np.int32), FIXED + at]).astype(np.int32))
         value.append(np.concatenate([np.frombuffer(v, np.float16).astype(np.float32), np.ones(len(at), np.float32)]))
-    x = Features(np.cumsum([0, *map(len, index)]), np.concatenate(index), np.concatenate(value))
     grade = np.searchsorted(grades, rows.column("grade").to_numpy())
+    at = np.cumsum([0, *map(len, index)])
+    # The sample is held once from here on.
+    del rows, hashes, seen, count
+    x = Features(at, np.concatenate(index), np.concatenate(value))
+    del index, value
     kept, weights, cuts = fit_selected(x, len(known), grade, len(grades))
     return Model(grades, known[kept], weights, cuts)
 
