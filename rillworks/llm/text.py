@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at once; a longer text is taken alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(20240229)
 _OF_BYTE = _RANDOM.integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)

@@ -13,7 +13,7 @@ import re
 from collections.abc import Callable
 
 #: Entries of a memo; about 100 bytes each.
-MEMO = 450_000
+MEMO = 350_000
 
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 _encoders: dict = {}
