@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rillworks.llm.land import components
@@ -13,6 +13,7 @@ from rillworks.llm.text import shingles, slices, words
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+@settings(deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(alphabet="aAbé \n\t\x0b\xa0", max_size=12)), max_size=8), st.integers(1, 9))
 def test_words_and_runs_match_a_plain_reading(texts, limit):
     seen, runs = [], []
