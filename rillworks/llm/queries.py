@@ -12,7 +12,7 @@ from rillworks.llm import quality
 from rillworks.llm.decontamination import leaks
 from rillworks.llm.embedding_dedup import link_vectors
 from rillworks.llm.jaccard_join import link_documents
-from rillworks.llm.land import stored
+from rillworks.llm.land import land, stored
 from rillworks.llm.line_dedup import drop_repeated_lines
 from rillworks.llm.mixing_lm import score_documents
 from rillworks.llm.oracles import ORACLES  # noqa: F401
@@ -40,7 +40,8 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stored(spark, sf_dir, "documents")
-    return limits_report(length_histogram(docs, "byte_bpe_50k.tiktoken", "source"))
+    histogram = length_histogram(docs, "byte_bpe_50k.tiktoken", "source")
+    return limits_report(land(histogram, "lengths"))
 
 
 def op5_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
