@@ -42,8 +42,6 @@ SHARED_PER = 12
 BROADCAST_IDS = 1_000_000
 #: Runs in one block of a group; a task holds two blocks at most.
 BLOCK_RUNS = 500_000
-#: Sets that walk a tree before its cut-off by links is renewed.
-RENEW = 64
 
 SETS = "id long, n_shingles long, set_key binary, head array<long>"
 
@@ -282,22 +280,17 @@ def tree_links(flat: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
     m = len(tree.sets)
     label = np.arange(m)
     flags = np.zeros(tree.vocabulary, np.int64)
-    for start in range(0, m, RENEW):
-        low = np.array([label[a:b].min() for a, b in zip(tree.low, tree.high)])
-        high = np.array([label[a:b].max() for a, b in zip(tree.low, tree.high)])
-        for i in range(start, min(start + RENEW, m)):
-            alive = ((low != high) | (low != label[i])) & (tree.high > i)
-            mine = tree.partners(i, percent, alive, flags)
-            if len(mine):
-                joined = np.unique(label[np.append(mine, i)])
-                if len(joined) > 1:
-                    merged = np.isin(label, joined)
-                    changed = joined[0]
-                    label[merged] = changed
-                    # Labels seen in ``low`` and ``high`` may be old: an old pair that
-                    # was one label stays one label, under its new name.
-                    low[np.isin(low, joined)] = changed
-                    high[np.isin(high, joined)] = changed
+    settled = tree.high - tree.low == 1
+    for i in range(m):
+        # Only a subtree whose sets all have the label of set i is left out.
+        alive = (~settled | (label[tree.low] != label[i])) & (tree.high > i)
+        mine = tree.partners(i, percent, alive, flags)
+        if len(mine):
+            joined = np.unique(label[np.append(mine, i)])
+            if len(joined) > 1:
+                label[np.isin(label, joined)] = joined[0]
+                changes = np.append(0, np.cumsum(label[1:] != label[:-1]))
+                settled = changes[tree.low] == changes[tree.high - 1]
     out = np.empty(m, np.int64)
     order = np.array(tree.order)
     smallest = np.full(m, m)

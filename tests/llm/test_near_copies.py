@@ -49,6 +49,25 @@ def test_tree_links_match_all_pairs():
         assert groups(len(sets), lambda i, j: got[i] == got[j]) == want
 
 
+def test_tree_links_of_chains_match_all_pairs():
+    draw = random.Random(12)
+    first = set(range(20))
+    chains = [[first, first - {18}, first - {18, 15}, first - {19} | {100}]]
+    for _ in range(400):
+        chain = [set(range(draw.randint(15, 40)))]
+        for _ in range(draw.randint(4, 12)):
+            near = set(draw.choice(chain))
+            for _ in range(draw.randint(1, 2)):
+                near ^= {draw.choice([draw.randrange(40), draw.randrange(100, 104)])}
+            chain.append(near)
+        chains.append(chain)
+    for sets in chains:
+        at = np.cumsum([0, *map(len, sets)])
+        got = all_links(np.concatenate([sorted(s) for s in sets]).astype(np.int64), at, 90)
+        want = groups(len(sets), lambda i, j: 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]))
+        assert groups(len(sets), lambda i, j: got[i] == got[j]) == want
+
+
 @pytest.mark.parametrize("block", [jaccard_join.BLOCK_RUNS, 150])
 def test_linked_documents_match_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard_join, "BLOCK_RUNS", block)
