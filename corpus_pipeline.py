@@ -24,7 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines go, and documents of which nothing is left."""
-    kept = drop_repeated_lines(docs, drop_emptied=True)
+    kept = drop_repeated_lines(docs, drop_emptied=True, extend=True)
     return kept.withColumn(
         "n_chars", F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
     ).select(*docs.columns)

@@ -5,8 +5,11 @@ bytes. Its fingerprint is the smallest line hash in it, so two equal windows,
 and with them any repeated run of lines of that many bytes, have a fingerprint
 in common. Positions join on fingerprints; only windows whose fingerprint lies
 at two places are compared as a whole. A window equal to one at an earlier
-place (by id, then line) is a match; matched windows that overlap or touch
-extend each other both ways to the whole repeated run, which is deleted.
+place (by id, then line) is a match. To the left, matched windows reach the first
+line of a repeated run by themselves; to the right, with ``extend``, each window is
+also compared with one line more, two more and so on until the next window is full,
+so that short lines at the end of a run belong to it. Any earlier place counts, not
+only the first. Runs from all windows cover every maximal common run, which is deleted.
 
 Nulls and extras: rows with a null id, a null or an empty text stay as they
 are. Repeated rows (same id and text) are one document: none is a repeat of the
@@ -30,11 +33,15 @@ from rillworks.llm.text import prefix_hashes, slices, spans
 
 MIN_BYTES = 48
 
-WINDOWS = "id long, of long, line int, n_lines int, whole long, print long, at int"
+WINDOWS = "id long, of long, line int, n_lines int, whole long, print long, at int, longer array<long>"
 
 
 def line_windows(docs: DataFrame, min_bytes: int) -> DataFrame:
-    """Windows of ``id, of, text``: hash of all their bytes, fingerprint and its line."""
+    """Windows of ``id, of, text``: hash of all their bytes, fingerprint and its line.
+
+    ``longer`` has the hashes of the window with one line more, two more and so on,
+    up to the last line before the next window is full, or the last of the text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,6 +63,9 @@ def line_windows(docs: DataFrame, min_bytes: int) -> DataFrame:
                 filled = np.cumsum(line_end - start)
                 before = filled - (line_end - start)
                 last = np.searchsorted(filled, before + min_bytes, "left")
+                # Lines that only runs from here cover: up to the next window's last line.
+                stop = np.searchsorted(start, texts.at[row + 1])
+                until = np.minimum(np.append(last[1:], len(start)), stop)
                 inside = last < len(start)
                 first = np.flatnonzero(inside)
                 last = last[inside]
@@ -71,6 +81,10 @@ def line_windows(docs: DataFrame, min_bytes: int) -> DataFrame:
                 at = order[np.minimum.reduceat(rank, pairs)[::2]]
                 low = hashes[at]
                 head = np.searchsorted(start, texts.at[:-1])
+                more = np.maximum(until[first] - 1 - last, 0)
+                grown = np.append(0, np.cumsum(more))
+                step = np.arange(grown[-1]) - np.repeat(grown[:-1], more)
+                longer = spans(prefix, np.repeat(start[first], more), line_end[np.repeat(last, more) + step + 1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, n).take(pa.array(row[first])),
@@ -80,14 +94,21 @@ def line_windows(docs: DataFrame, min_bytes: int) -> DataFrame:
                         pa.array(spans(prefix, start[first], line_end[last]).view(np.int64)),
                         pa.array(low.view(np.int64)),
                         pa.array((at - head[row[first]]).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(grown.astype(np.int32)), pa.array(longer.view(np.int64))),
                     ],
-                    ["id", "of", "line", "n_lines", "whole", "print", "at"],
+                    ["id", "of", "line", "n_lines", "whole", "print", "at", "longer"],
                 )
 
     return docs.mapInArrow(run, WINDOWS)
 
 
-def repeated_lines(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(
+    docs: DataFrame,
+    min_bytes: int = MIN_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    extend: bool = False,
+) -> DataFrame:
     """``id, of, lines``: the numbers of the lines that belong to later repeated runs."""
     texts = (
         docs.where(F.col(id_col).isNotNull() & (F.length(text_col) > 0))
@@ -97,7 +118,8 @@ def repeated_lines(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "d
             F.col(text_col).alias("text"),
         )
     )
-    windows = land(line_windows(texts, min_bytes), "windows")
+    windows = line_windows(texts, min_bytes)
+    windows = land(windows if extend else windows.drop("longer"), "windows")
     place = F.struct("id", "of", "at")
     shared = (
         windows.groupBy("print")
@@ -107,12 +129,19 @@ def repeated_lines(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "d
     )
     # Written first, so that the join below can split the places of a hot fingerprint.
     shared = land(shared, "prints")
-    met = windows.join(shared, "print").select("id", "of", "line", "n_lines", "whole")
+    met = windows.join(shared, "print")
+    if extend:
+        runs = F.concat(F.array("whole"), "longer")
+        met = met.select("id", "of", "line", "n_lines", F.posexplode(runs).alias("more", "whole"))
+    else:
+        met = met.select("id", "of", "line", "n_lines", F.lit(0).alias("more"), "whole")
     first = met.groupBy("whole").agg(F.min(F.struct("id", "of", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = land(first.select("whole", "first"), "first")
     later = met.join(first, "whole").where(F.struct("id", "of", "line") > F.col("first"))
+    # A longer run adds its last line: the shorter ones from there are repeated too.
+    last = F.col("line") + F.col("n_lines") - 1 + F.col("more")
     lines = later.select(
-        "id", "of", F.explode(F.sequence(F.col("line"), F.col("line") + F.col("n_lines") - 1)).alias("line")
+        "id", "of", F.explode(F.sequence(F.when(F.col("more") > 0, last).otherwise(F.col("line")), last)).alias("line")
     )
     return lines.groupBy("id", "of").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
@@ -123,9 +152,13 @@ def drop_repeated_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     drop_emptied: bool = False,
+    extend: bool = False,
 ) -> DataFrame:
-    """``docs`` without later repeated runs, and the columns ``_lines``, ``_removed``."""
-    found = repeated_lines(docs, min_bytes, id_col, text_col).select(
+    """``docs`` without later repeated runs, and the columns ``_lines``, ``_removed``.
+
+    ``extend``: runs go to their last equal line, also after their last full window.
+    """
+    found = repeated_lines(docs, min_bytes, id_col, text_col, extend).select(
         F.col("id").alias("_id"), F.col("of").alias("_of"), F.col("lines").alias("_gone")
     )
     names = docs.columns

@@ -49,7 +49,7 @@ def op5_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = drop_repeated_lines(stored(spark, sf_dir, "documents"))
+    kept = drop_repeated_lines(stored(spark, sf_dir, "documents"), extend=True)
     return kept.select(
         "doc_id",
         F.col("_lines").alias("n_lines"),

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rillworks.llm import embedding_dedup, jaccard_join, suffix_dedup
+import corpus_pipeline
+from rillworks.llm import embedding_dedup, jaccard_join, queries, suffix_dedup
 from rillworks.llm.jaccard_join import all_links, keep_first_of_each, link_documents
 from rillworks.llm.line_dedup import drop_repeated_lines
 from tests.llm.conftest import prose
@@ -129,6 +130,43 @@ def test_repeated_lines_match_a_plain_reading(spark):
     assert {k: got[k] for k in want} == want
 
 
+def maximal_common_runs(docs, least):
+    texts = {key: [x.encode() for x in text.split("\n")] for key, text in docs}
+    filled = {key: x[:-1] if x[-1] == b"" else x for key, x in texts.items()}
+    places = [(key, a) for key in sorted(filled) for a in range(len(filled[key]))]
+    gone = {key: set() for key in texts}
+    for i, (key, a) in enumerate(places):
+        for other, b in places[:i]:
+            x, y = filled[key][a:], filled[other][b:]
+            n = next((k for k, (u, v) in enumerate(zip(x, y)) if u != v), min(len(x), len(y)))
+            if sum(map(len, x[:n])) >= least:
+                gone[key] |= set(range(a, a + n))
+    return {k: (b"\n".join(x for i, x in enumerate(t) if i not in gone[k]).decode(), len(gone[k])) for k, t in texts.items()}
+
+
+def test_repeated_lines_match_maximal_common_runs(spark):
+    draw = random.Random(21)
+    pool = [prose(k, draw.randint(0, 6)) for k in range(9)] + ["", "", "é", "}", "x" * 80]
+    docs = [(k, "\n".join(draw.choice(pool) for _ in range(draw.randint(1, 14)))) for k in range(50)]
+    run = "\n".join(["y" * 50, "}", "", "", "end"])
+    docs += [(60, run + "\nother"), (61, run + "\nlast"), (62, run), (63, "y" * 50 + "\n}\n\n\n\n" + "z" * 60)]
+    docs = [d for d in docs if d[1]]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r._removed) for r in drop_repeated_lines(rows, extend=True).collect()}
+    assert got == maximal_common_runs(docs, 48)
+    assert got[61] == ("last", 5) and got[62] == ("", 5)
+
+
+def test_registered_line_dedup_extends_runs(spark, monkeypatch):
+    run = "\n".join(["y" * 50, "}", "end"])
+    rows = spark.createDataFrame([(1, run + "\na", 1), (2, run + "\nb", 1)], "doc_id long, text string, n_chars long")
+    monkeypatch.setattr(queries, "stored", lambda *_: rows)
+    got = {r.doc_id: r.n_removed for r in queries.op6_line_dedup(spark, "").collect()}
+    assert got == {1: 0, 2: 3}
+    kept = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, rows, "").collect()}
+    assert kept == {1: run + "\na", 2: "b"}
+
+
 def test_odd_documents_keep_their_lines(odd_documents, no_documents):
     rows = drop_repeated_lines(odd_documents)
     assert rows.count() == 12
