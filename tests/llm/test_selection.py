@@ -236,3 +236,17 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark):
 def test_every_operator_has_a_query():
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES if q != "pipeline")
     assert numbers == list(range(1, 11)) and "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
+
+
+def test_long_unseen_words_cost_by_their_length(spark):
+    draw = random.Random(31)
+    held = next(k for k in range(1000, 2000) if mixing_lm.is_held_out(k))
+    sizes = (400, 4000, 40000)
+    rows = [(k, prose(k, 80)) for k in range(60)]
+    for size in sizes:
+        rows.append((held, "".join(draw.choice("0123456789abcdef") for _ in range(size))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = sorted((r.score for r in mixing_lm.score_documents(df).collect() if r.doc_id == held), reverse=True)
+    per_byte = [-score / size for score, size in zip(scores, sizes)]
+    # At least half a digit a byte of sixteen that training has not shown in a row.
+    assert all(x > 0.5 for x in per_byte) and max(per_byte) < 1.5 * min(per_byte)
