@@ -50,4 +50,44 @@ SELECT d.doc_id,
 FROM d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op8_secrets": _SECRETS}
+_COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (
+  SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i
+  FROM words, (SELECT unnest([1, 2, 3, 4]) AS k)
+  WHERE len(w) >= k),
+f AS (
+  SELECT lang, w[i:i + k - 1] AS p, k, count(*) AS a FROM runs GROUP BY ALL),
+total AS (
+  SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (
+  SELECT * FROM f WHERE k >= 2 AND a >= 30),
+inner_parts AS (
+  SELECT lang, p[x:x + m - 1] AS p, max(a) AS longer
+  FROM (SELECT lang, p, k, a, m, unnest(generate_series(1, k - m + 1)) AS x
+        FROM cand, (SELECT unnest([2, 3]) AS m) WHERE m < k)
+  GROUP BY ALL),
+cuts AS (
+  SELECT lang, p, a, unnest(generate_series(1, k - 1)) AS c
+  FROM cand LEFT JOIN inner_parts USING (lang, p)
+  WHERE longer IS NULL OR CAST(longer AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80),
+scored AS (
+  SELECT cuts.lang, cuts.p, cuts.a, l.a AS l, r.a AS r,
+         CAST((CAST(cuts.a AS HUGEINT) * 2000000) // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.p = cuts.p[:c]
+            JOIN f r ON r.lang = cuts.lang AND r.p = cuts.p[c + 1:]
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.p ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM (SELECT *, array_to_string(p, ' ') AS phrase FROM scored) JOIN total USING (lang)
+QUALIFY rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op8_secrets": _SECRETS, "op11_collocations": _COLLOCATIONS}

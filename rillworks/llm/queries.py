@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rillworks.llm import quality
+from rillworks.llm.collocations import mine
 from rillworks.llm.decontamination import leaks
 from rillworks.llm.embedding_dedup import link_vectors
 from rillworks.llm.jaccard_join import link_documents
@@ -74,6 +75,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(stored(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine(stored(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -85,5 +90,6 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
     "pipeline": corpus_pipeline.run,
 }
