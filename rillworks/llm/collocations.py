@@ -28,9 +28,9 @@ from rillworks.llm.land import land
 from rillworks.llm.text import Texts, mix, slices
 
 #: Bytes of text of one language that become one block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Runs of words per shelf, on average, before equal ones meet.
-SHELF_RUNS = 1 << 20
+SHELF_RUNS = 1 << 19
 MAX_WORDS = 4
 
 _BREAK, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
@@ -63,7 +63,7 @@ def _tokens(texts: Texts) -> tuple[np.ndarray, pa.Array]:
     body = _LOWER[texts.data[inside]]
     words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(at), pa.py_buffer(body)])
     coded = words.dictionary_encode()
-    ends = np.cumsum(_BREAK[texts.data] | edge[:-1])[start]
+    ends = np.searchsorted(np.flatnonzero(_BREAK[texts.data] | edge[:-1]), start, "right")
     fresh = np.flatnonzero(np.diff(ends, prepend=ends[:1]))
     numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32) + 1
     return np.insert(numbers, fresh, 0), coded.dictionary
@@ -96,7 +96,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             codes = batch.column(0).dictionary_encode()
             index = codes.indices.to_numpy(zero_copy_only=False)
             for k, lang in enumerate(codes.dictionary.to_pylist()):
-                for texts in slices(batch.column(1).take(pa.array(np.flatnonzero(index == k))), BLOCK_BYTES):
+                for texts in slices(batch.column(1).take(pa.array(np.flatnonzero(index == k))), BLOCK_BYTES // 2):
                     held.setdefault(lang, []).append(texts)
                     size[lang] = size.get(lang, 0) + len(texts.data)
                     if size[lang] >= BLOCK_BYTES:
