@@ -18,6 +18,7 @@ from rillworks.llm.line_dedup import drop_repeated_lines
 from rillworks.llm.mixing_lm import score_documents
 from rillworks.llm.oracles import ORACLES  # noqa: F401
 from rillworks.llm.packing import pack_documents
+from rillworks.llm.repair import damaged_report
 from rillworks.llm.secrets import scan
 from rillworks.llm.suffix_dedup import remove_repeats
 from rillworks.llm.token_counts import length_histogram, limits_report
@@ -79,6 +80,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(stored(spark, sf_dir, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damaged_report(stored(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -91,5 +96,6 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
+    "op13_repair": op13_repair,
     "pipeline": corpus_pipeline.run,
 }
