@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillworks.llm.land import land
+from rillworks.llm.land import land, numbered
 from rillworks.llm.text import Texts, mix, slices
 
 #: Bytes of text of one language that become one block.
@@ -116,21 +116,6 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, kinds)
 
 
-def numbered(df: DataFrame, into: str, name: str) -> DataFrame:
-    """``df``, written, with whole numbers from 1 without gaps; no task sees all rows."""
-    row = F.monotonically_increasing_id()
-    placed = land(
-        df.select("*", F.shiftright(row, 33).alias("_part"), row.bitwiseAND((1 << 33) - 1).alias("_row")), name
-    )
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    # One row per partition.
-    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
-    return placed.join(before, "_part").select(
-        *df.columns, (F.col("_before") + F.col("_row") + 1).alias(into)
-    )
-
-
 # Filters
 
 

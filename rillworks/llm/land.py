@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillworks.session import scratch_dir
@@ -20,6 +20,21 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, into: str, name: str) -> DataFrame:
+    """``df``, written, with whole numbers from 1 without gaps; no task sees all rows."""
+    row = F.monotonically_increasing_id()
+    placed = land(
+        df.select("*", F.shiftright(row, 33).alias("_part"), row.bitwiseAND((1 << 33) - 1).alias("_row")), name
+    )
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    # One row per partition.
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"))
+    return placed.join(before, "_part").select(
+        *df.columns, (F.col("_before") + F.col("_row") + 1).alias(into)
+    )
+
+
 def broadcast_below(df: DataFrame, rows: int, most: int) -> DataFrame:
     """Hint a broadcast only where ``rows``, counted before, is at most ``most``."""
     return F.broadcast(df) if rows <= most else df

@@ -90,4 +90,79 @@ FROM (SELECT *, array_to_string(p, ' ') AS phrase FROM scored) JOIN total USING
 QUALIFY rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op8_secrets": _SECRETS, "op11_collocations": _COLLOCATIONS}
+_SOURCE_MIX = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 13) AS BIGINT) AS ticket
+  FROM documents),
+src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM d GROUP BY source),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER poorer, 0))::DOUBLE
+            / (sum(w) OVER () - coalesce(sum(w) OVER poorer, 0)) AS level
+  FROM src
+  WINDOW poorer AS (ORDER BY source_size / w, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+water AS (
+  SELECT min(level) AS level FROM (
+    SELECT level FROM levels WHERE level * w <= 3 * source_size ORDER BY source_size / w, source NULLS LAST LIMIT 1)),
+tgt AS (
+  SELECT source, source_size,
+         CASE WHEN 3 * source_size < water.level * w THEN CAST(3 * source_size AS DOUBLE) ELSE water.level * w END AS target
+  FROM src, water),
+cls AS (
+  SELECT source, length(bin(size)) AS digits, CAST(sum(size) AS BIGINT) AS words, any_value(target) AS target
+  FROM d JOIN tgt USING (source) WHERE size > 0 GROUP BY source, digits),
+tried AS (
+  SELECT *, (target - 3 * coalesce(sum(words) OVER above, 0)::BIGINT)
+            / (sum(digits * words) OVER (PARTITION BY source) - coalesce(sum(digits * words) OVER above, 0))::BIGINT AS lv
+  FROM cls
+  WINDOW above AS (PARTITION BY source ORDER BY digits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+top AS (
+  SELECT source, max(digits) AS d0, max_by(lv, digits) AS lv0 FROM tried WHERE lv * digits <= 3 GROUP BY source),
+cop AS (
+  SELECT source, digits, words, floor(c)::BIGINT AS whole, c - floor(c) AS part
+  FROM (SELECT tried.*, CASE WHEN digits <= d0 THEN lv0 * digits ELSE 3.0::DOUBLE END AS c
+        FROM tried LEFT JOIN top USING (source))),
+bud AS (
+  SELECT tgt.*, target - coalesce(c, 0)::BIGINT AS budget
+  FROM tgt LEFT JOIN (SELECT source, sum(whole * words) AS c FROM cop GROUP BY source) USING (source)),
+ranked AS (
+  SELECT d.*, bud.source_size, bud.target, bud.budget, whole, CASE WHEN part > 0 THEN part END AS part,
+         (ticket + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM d JOIN bud USING (source) LEFT JOIN cop ON cop.source = d.source AND cop.digits = length(bin(d.size))
+       AND d.size > 0),
+summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, ticket ROWS UNBOUNDED PRECEDING) AS reached
+  FROM (SELECT *, coalesce(u * (1 - part) / ((1 - u) * part), 'inf'::DOUBLE) AS q FROM ranked)),
+drawn AS (
+  SELECT *, part IS NOT NULL AND reached <= budget AS chosen FROM summed),
+gap0 AS (
+  SELECT source, any_value(budget) - coalesce(sum(size) FILTER (chosen), 0)::BIGINT AS gap FROM drawn GROUP BY source),
+fill0 AS (
+  SELECT source, gap, -1 AS row FROM gap0),
+FILLS
+SELECT doc_id, size, source_size, target, copies * size AS taken, copies
+FROM (SELECT *, coalesce(whole, 0) + CASE WHEN chosen OR doc_id IN (SELECT row FROM fills) THEN 1 ELSE 0 END AS copies FROM drawn)
+"""
+
+_FILL = """
+fill{k} AS (
+  SELECT drawn.source, gap - size AS gap, doc_id AS row
+  FROM drawn JOIN fill{j} f ON f.source = drawn.source
+  WHERE NOT chosen AND part IS NOT NULL AND size < 2 * gap AND doc_id NOT IN ({before})
+  QUALIFY row_number() OVER (PARTITION BY drawn.source ORDER BY abs(gap - size), q, ticket) = 1),"""
+_ADDED = [f"SELECT row FROM fill{k}" for k in range(5)]
+_SOURCE_MIX = _SOURCE_MIX.replace(
+    "FILLS",
+    "".join(_FILL.format(k=k, j=k - 1, before=" UNION ALL ".join(_ADDED[:k])) for k in range(1, 5)).strip()
+    + f"\nfills AS ({' UNION ALL '.join(_ADDED)})",
+)
+
+ORACLES: dict[str, str] = {
+    "op12_source_mix": _SOURCE_MIX,
+    "op8_secrets": _SECRETS,
+    "op11_collocations": _COLLOCATIONS,
+}

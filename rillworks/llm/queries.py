@@ -20,6 +20,7 @@ from rillworks.llm.oracles import ORACLES  # noqa: F401
 from rillworks.llm.packing import pack_documents
 from rillworks.llm.repair import damaged_report
 from rillworks.llm.secrets import scan
+from rillworks.llm.source_mix import mix_sources
 from rillworks.llm.suffix_dedup import remove_repeats
 from rillworks.llm.token_counts import length_histogram, limits_report
 
@@ -80,6 +81,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine(stored(spark, sf_dir, "documents"))
 
 
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(stored(spark, sf_dir, "documents"))
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return damaged_report(stored(spark, sf_dir, "conversations"))
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
+    "op12_source_mix": op12_source_mix,
     "op13_repair": op13_repair,
     "pipeline": corpus_pipeline.run,
 }

@@ -110,6 +110,16 @@ def words(texts: Texts, lower: bool = True) -> Words:
     return Words(spans(prefix_hashes(data), start, end), start, end, row)
 
 
+def word_counts(texts: Texts) -> np.ndarray:
+    """The number of words of each text."""
+    inside = ~_SPACE[texts.data]
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[texts.at] = True
+    first = inside.copy()
+    first[1:] &= edge[1:-1] | ~inside[:-1]
+    return np.diff(np.searchsorted(np.flatnonzero(first), texts.at))
+
+
 def shingles(found: Words, n_texts: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """``(hash, row)`` of runs of ``width`` words; a text of fewer words is one run."""
     count = np.bincount(found.text, minlength=n_texts)
