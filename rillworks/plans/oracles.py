@@ -140,6 +140,12 @@ log AS (
   FROM msg WHERE username IS NOT NULL)
 """
 
+_EVENT_INDEX = """
+        SELECT 'es-' || event_type AS "index",
+               'es-' || event_type || '+' || (user_id % 3) || '+' || event_id AS doc_id,
+               props AS value
+        FROM events"""
+
 ORACLES: dict[str, str] = {
     "payload_normalize": f"""
         WITH {_MESSAGES}, p AS ({_PAYLOAD})
@@ -281,11 +287,8 @@ ORACLES: dict[str, str] = {
     "ranked_details": f"""
         WITH {_RANKED}, {_CATALOGUE}
         SELECT CAST(cat.id AS INTEGER) AS id, doc AS value FROM ranked JOIN cat ON cat.id = ranked.id""",
-    "index_docs": """
-        SELECT 'es-' || event_type AS "index",
-               'es-' || event_type || '+' || (user_id % 3) || '+' || event_id AS doc_id,
-               props AS value
-        FROM events""",
+    "index_docs": _EVENT_INDEX,
+    "index_replay": _EVENT_INDEX,
     "sink_inventory": """
         SELECT 'es-' || event_type AS "index", count(*) AS docs FROM events GROUP BY event_type""",
     "sink_truncate": """

@@ -429,6 +429,19 @@ def index_docs(spark: SparkSession, sf: str) -> DataFrame:
     return read_index(spark, root).select("index", "doc_id", "value")
 
 
+def index_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Two writers with checkpoints of their own read one growing topic from its start."""
+    root, topic = scratch_dir(spark, "index"), scratch_dir(spark, "topic")
+    docs = derived.event_documents(spark, sf)
+    for writer, parts in (("first", (0, 1)), ("second", (2,))):
+        checkpoint = scratch_dir(spark, "checkpoint")
+        for part in parts:
+            some = docs.where(F.col("offset") % 3 == part)
+            some.write.parquet(f"{topic}/batch={part}")
+            drain(topic_index_stream(stream_topic(spark, topic), root, checkpoint, writer, replays=True))
+    return read_index(spark, root).select("index", "doc_id", "value")
+
+
 def _event_index(spark: SparkSession, sf: str) -> str:
     root = scratch_dir(spark, "index")
     docs = index_rows(derived.event_documents(spark, sf), may_repeat=False)
@@ -498,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "rank_page_explode": rank_page_explode,
     "ranked_details": ranked_details,
     "index_docs": index_docs,
+    "index_replay": index_replay,
     "sink_inventory": sink_inventory,
     "sink_truncate": sink_truncate,
     "sink_after_truncate": sink_after_truncate,

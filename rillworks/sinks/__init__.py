@@ -5,4 +5,5 @@ from rillworks.sinks.index import (  # noqa: F401
     truncate_index,
     write_index,
 )
+from rillworks.sinks.manifest import read_manifest, write_index_once  # noqa: F401
 from rillworks.sinks.topic import as_topic, publish, write_topic_stream  # noqa: F401

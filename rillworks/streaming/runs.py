@@ -16,7 +16,7 @@ from rillworks.operators.lines import parse_lines
 from rillworks.operators.metrics import delivery_counters
 from rillworks.schemas import EXPLICIT_GENRES, TOPIC_DOCS
 from rillworks.session import ROCKSDB_PROVIDER
-from rillworks.sinks import index_rows, write_index
+from rillworks.sinks import index_rows, write_index, write_index_once
 from rillworks.sources import drop_headers
 
 
@@ -133,11 +133,23 @@ def lookup_ids_stream(
 
 
 def topic_index_stream(
-    records: DataFrame, root: str, checkpoint: str, writer: str, may_repeat: bool = False
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    writer: str,
+    may_repeat: bool = False,
+    replays: bool = False,
 ) -> DataStreamWriter:
-    """Topic records to the index of their topic, as they are."""
+    """Topic records to the index of their topic, as they are.
+
+    ``replays``: the topic may hold positions that an earlier writer has indexed, such
+    as when it is read again from the start; they stay as they were written first.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if replays:
+            write_index_once(batch, root, batch_id, writer)
+            return
         write_index(index_rows(batch, may_repeat=may_repeat), root, batch_id, writer=writer)
 
     return records.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

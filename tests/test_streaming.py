@@ -278,3 +278,54 @@ def test_state_settings_are_put_back(spark, dirs):
     with rocksdb_state(spark):
         assert "RocksDB" in spark.conf.get(name)
     assert spark.conf.get(name) == before
+
+
+def test_replayed_topic_keeps_first_positions_and_reads_only_overlapping_folders(spark, tmp_path):
+    from rillworks.sinks.manifest import (
+        overlapping,
+        position_ranges,
+        read_folders,
+        read_manifest,
+        write_index_once,
+    )
+
+    def records(first, last, value):
+        return spark.range(first, last).select(
+            F.lit("k").alias("key"),
+            F.concat(F.lit(value), F.col("id").cast("string")).alias("value"),
+            F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("topic"),
+            (F.col("id") % 3).cast("int").alias("partition"),
+            F.col("id").alias("offset"),
+        )
+
+    root = str(tmp_path / "index")
+    write_index_once(records(0, 100, "old"), root, 0, "first")
+    write_index_once(records(100, 200, "old"), root, 1, "first")
+    again = records(150, 250, "new")
+    asked = position_ranges(again)
+    folders = overlapping(read_manifest(spark, root), asked, "second", 0).collect()
+    assert {(f["index"], f["writer"], f["batch_id"]) for f in folders} == {("even", "first", 1), ("odd", "first", 1)}
+    files = read_folders(spark, root, folders).inputFiles()
+    assert files and all("batch_id=1/" in f for f in files)
+    write_index_once(again, root, 0, "second")
+    want = {(f"{'even' if i % 2 == 0 else 'odd'}+{i % 3}+{i}", f"{'old' if i < 200 else 'new'}{i}") for i in range(250)}
+    for _ in range(2):
+        got = [(r["doc_id"], r["value"]) for r in read_index(spark, root).select("doc_id", "value").collect()]
+        assert len(got) == 250 and set(got) == want
+        # Batches that run again leave everything as it was.
+        write_index_once(records(100, 200, "old"), root, 1, "first")
+        write_index_once(again, root, 0, "second")
+
+
+def test_note_of_a_lost_batch_does_not_hide_positions(spark, tmp_path):
+    from rillworks.sinks.manifest import _home, position_ranges, write_index_once
+
+    root = str(tmp_path / "index")
+    rows = spark.range(10).select(
+        F.lit("v").alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset")
+    )
+    # The first writer noted its batch and was lost before it wrote it.
+    position_ranges(rows).write.parquet(f"{_home(root)}/writer=lost/batch_id=0")
+    write_index_once(rows, root, 0, "second")
+    write_index_once(rows, root, 0, "lost")
+    assert read_index(spark, root).count() == 10
