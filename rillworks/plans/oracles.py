@@ -146,6 +146,11 @@ _EVENT_INDEX = """
                props AS value
         FROM events"""
 
+_SCANNED = f"""
+        SELECT 'copied' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+               event_id AS "offset", {_RAW_MESSAGE} AS value
+        FROM events"""
+
 ORACLES: dict[str, str] = {
     "payload_normalize": f"""
         WITH {_MESSAGES}, p AS ({_PAYLOAD})
@@ -164,10 +169,8 @@ ORACLES: dict[str, str] = {
     + f"SELECT 'null' AS key, {_COUNT_JSON} AS value, 'sample-count-es' AS topic FROM log",
     "topic_write": f"""
         SELECT 'null' AS key, {_COUNT_JSON} AS value, 'sample-count-es' AS topic FROM ({_COUNTS})""",
-    "topic_scan": f"""
-        SELECT 'copied' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
-               event_id AS "offset", {_RAW_MESSAGE} AS value
-        FROM events""",
+    "topic_scan": _SCANNED,
+    "topic_scan_offsets": _SCANNED,
     "csv_parse": f"""
         SELECT p_brand AS source, CAST(p_partkey AS VARCHAR) AS key,
                CAST(p_partkey AS INTEGER) AS anime_id, {_LINE_TITLE} AS title, {_LINE_JSON} AS value

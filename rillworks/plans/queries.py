@@ -54,11 +54,13 @@ from rillworks.sinks import (
     write_topic_stream,
 )
 from rillworks.sources import (
+    note_positions,
     raw_lines,
     read_lines,
     read_pages,
     read_responses,
     read_topic,
+    stream_offsets,
     stream_topic,
 )
 from rillworks.streaming import (
@@ -144,6 +146,23 @@ def topic_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_topic(spark, path).select("topic", "partition", "offset", "value")
 
 
+def topic_scan_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """A topic that grows, read by offsets in batches that end within its files."""
+    topic, path = scratch_dir(spark, "messages"), scratch_dir(spark, "copy")
+    checkpoint, positions = scratch_dir(spark, "checkpoint"), scratch_dir(spark, "positions")
+    records = derived.messages(spark, sf)
+    n, last = records.agg(F.count(F.lit(1)), F.max("offset")).first()
+    for batch, later in enumerate((False, True)):
+        some = records.where((F.col("offset") > (last or 0) // 2) == F.lit(later))
+        some.write.parquet(f"{topic}/batch={batch}")
+        note_positions(spark, topic, batch)
+        source = stream_offsets(spark, topic, positions, max(1, n // 3))
+        # A run, as a restart after a stop would, goes on where the last one ended.
+        while drain(write_topic_stream(source, "copied", path, checkpoint)):
+            pass
+    return read_topic(spark, path).select("topic", "partition", "offset", "value")
+
+
 def message_count_stream(spark: SparkSession, sf: str) -> DataFrame:
     keyed = with_username(stream_topic(spark, derived.message_topic(spark, sf)))
     path, checkpoint = scratch_dir(spark, "totals"), scratch_dir(spark, "checkpoint")
@@ -473,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "message_count_changelog": message_count_changelog,
     "topic_write": topic_write,
     "topic_scan": topic_scan,
+    "topic_scan_offsets": topic_scan_offsets,
     "message_count_stream": message_count_stream,
     "message_count_changelog_stream": message_count_changelog_stream,
     "csv_parse": csv_parse,

@@ -41,11 +41,15 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_PROVIDER, before)
 
 
-def drain(writer: DataStreamWriter) -> None:
-    """Work off what is there now, then stop; raises what the stream raised."""
+def drain(writer: DataStreamWriter) -> int:
+    """Work off what is there now, then stop; raises what the stream raised.
+
+    Returns the number of rows read.
+    """
     with rocksdb_state(SparkSession.active()):
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)
 
 
 def _latest_batch_rows(path: str) -> Callable[[DataFrame, int], None]:
@@ -166,16 +170,17 @@ def line_index_stream(
 ) -> DataStreamWriter:
     """Line files, as they land, to enriched and filtered documents in an index.
 
-    ``lines`` is a stream of :func:`raw_lines`. A line's position is its file,
-    as a hash, and its number among the rows of the batch.
+    ``lines`` is a stream of :func:`raw_lines`. A line's position is its file, as a
+    hash, and its place there, so a batch that runs again gives the same ids.
     """
+
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_lines(drop_headers(batch)).where("ok")
-        asked = parsed.select("key", "value", F.xxhash64("file").alias("partition"))
-        kept = exclude_enriched(enrich_or_pass(asked, judged(documents, explicit)), explicit)
-        placed = kept.withColumns(
-            {"topic": F.lit(topic), "offset": F.monotonically_increasing_id() + F.lit(batch_id << 48)}
+        asked = parsed.select(
+            "key", "value", F.xxhash64("file").alias("partition"), F.col("at").alias("offset")
         )
+        kept = exclude_enriched(enrich_or_pass(asked, judged(documents, explicit)), explicit)
+        placed = kept.withColumn("topic", F.lit(topic))
         write_index(index_rows(placed, may_repeat=False), root, batch_id, topic, writer)
 
     return lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
