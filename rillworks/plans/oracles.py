@@ -151,6 +151,11 @@ _SCANNED = f"""
                event_id AS "offset", {_RAW_MESSAGE} AS value
         FROM events"""
 
+_WHOLE_FILES = f"""
+        SELECT CAST(p_partkey AS VARCHAR) AS key, {_LINE_JSON} AS value, 'csv-raw' AS topic
+        FROM part WHERE p_brand NOT IN 
+          (SELECT p_brand FROM part WHERE {_BROKEN} OR {_BLANK})"""
+
 ORACLES: dict[str, str] = {
     "payload_normalize": f"""
         WITH {_MESSAGES}, p AS ({_PAYLOAD})
@@ -179,10 +184,8 @@ ORACLES: dict[str, str] = {
         SELECT p_brand AS source,
                CASE WHEN {_BROKEN} THEN p_partkey || ',' ELSE ' ' || chr(9) || ' ' END AS line
         FROM part WHERE {_BROKEN} OR {_BLANK}""",
-    "csv_publish_atomic": f"""
-        SELECT CAST(p_partkey AS VARCHAR) AS key, {_LINE_JSON} AS value, 'csv-raw' AS topic
-        FROM part WHERE p_brand NOT IN 
-          (SELECT p_brand FROM part WHERE {_BROKEN} OR {_BLANK})""",
+    "csv_publish_atomic": _WHOLE_FILES,
+    "csv_publish_commit": _WHOLE_FILES,
     "normalize_primary": f"""
         WITH {_LANDED} SELECT {_scalars('p_retailprice')} FROM landed WHERE p_partkey % 10 <= 6""",
     "normalize_fallback": f"""

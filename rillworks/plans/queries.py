@@ -48,7 +48,9 @@ from rillworks.sinks import (
     index_rows,
     inventory,
     publish,
+    publish_units,
     read_index,
+    read_units,
     truncate_index,
     write_index,
     write_topic_stream,
@@ -201,6 +203,15 @@ def csv_publish_atomic(spark: SparkSession, sf: str) -> DataFrame:
     return read_topic(spark, topic).select("key", "value", "topic")
 
 
+def csv_publish_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """Files published whole by commit markers, in one scan of the lines."""
+    path = scratch_dir(spark, "published")
+    parsed = parse_lines(read_lines(spark, derived.line_files(spark, sf)))
+    publish_units(parsed.select("file", "ok", "key", "value"), path, "csv", "file")
+    rows = read_units(spark, path, "file string, key string, value string")
+    return as_topic(rows, TOPIC_CSV).select("key", "value", "topic")
+
+
 # Answers and enrichment
 
 
@@ -498,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "csv_parse": csv_parse,
     "csv_rejects": csv_rejects,
     "csv_publish_atomic": csv_publish_atomic,
+    "csv_publish_commit": csv_publish_commit,
     "normalize_primary": normalize_primary,
     "normalize_fallback": normalize_fallback,
     "nested_prune": nested_prune,

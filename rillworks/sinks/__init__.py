@@ -1,3 +1,4 @@
+from rillworks.sinks.committed import committed_units, publish_units, read_units  # noqa: F401
 from rillworks.sinks.index import (  # noqa: F401
     index_rows,
     inventory,

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillworks.schemas import INDEX_ROWS
+from rillworks.session import path_exists
 from rillworks.sinks.index import POSITION, index_rows, write_index
 
 RANGES = (
@@ -26,14 +27,9 @@ def _home(root: str) -> str:
     return f"{root}/_manifest"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
-
-
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """The noted ranges of all folders; no rows where nothing was noted."""
-    if not _exists(spark, _home(root)):
+    if not path_exists(spark, _home(root)):
         return spark.createDataFrame([], RANGES)
     return spark.read.schema(RANGES).parquet(_home(root))
 
@@ -66,7 +62,7 @@ def overlapping(manifest: DataFrame, ranges: DataFrame, writer: str, batch_id: i
 def read_folders(spark: SparkSession, root: str, folders: Iterable) -> DataFrame | None:
     """The documents of some folders only; ``None`` where none of them was written."""
     paths = [f"{root}/index={f['index']}/writer={f['writer']}/batch_id={f['batch_id']}" for f in folders]
-    paths = [path for path in paths if _exists(spark, path)]
+    paths = [path for path in paths if path_exists(spark, path)]
     if not paths:
         return None
     return spark.read.schema(INDEX_ROWS).option("basePath", root).parquet(*paths)
