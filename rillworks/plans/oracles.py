@@ -156,6 +156,29 @@ _WHOLE_FILES = f"""
         FROM part WHERE p_brand NOT IN 
           (SELECT p_brand FROM part WHERE {_BROKEN} OR {_BLANK})"""
 
+_RESOLVED = """
+        WITH log AS (
+          SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type,
+                 coalesce(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (
+                   PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS errors
+          FROM events)
+        SELECT user_id, day,
+               min(CASE WHEN event_type NOT IN ('error', 'view') AND errors < 3 THEN event_id END)
+                 AS resolved_at
+        FROM log GROUP BY user_id, day"""
+
+_CHOSEN = """
+        WITH w AS (
+          SELECT event_id, user_id, ts,
+                 max(CASE WHEN event_type = 'error' THEN ts END) OVER (
+                   PARTITION BY user_id ORDER BY event_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_timeout
+          FROM events)
+        SELECT event_id, user_id,
+               CASE WHEN last_timeout > ts - INTERVAL 12 HOUR THEN 'fallback' ELSE 'primary' END AS provider
+        FROM w"""
+
 ORACLES: dict[str, str] = {
     "payload_normalize": f"""
         WITH {_MESSAGES}, p AS ({_PAYLOAD})
@@ -247,27 +270,10 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (unwanted) AS filtered_out,
                count(*) FILTER (NOT unwanted) AS delivered
         FROM enriched""",
-    "attempt_resolve": """
-        WITH log AS (
-          SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, event_type,
-                 coalesce(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (
-                   PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS errors
-          FROM events)
-        SELECT user_id, day,
-               min(CASE WHEN event_type NOT IN ('error', 'view') AND errors < 3 THEN event_id END)
-                 AS resolved_at
-        FROM log GROUP BY user_id, day""",
-    "provider_window": """
-        WITH w AS (
-          SELECT event_id, user_id, ts,
-                 max(CASE WHEN event_type = 'error' THEN ts END) OVER (
-                   PARTITION BY user_id ORDER BY event_id
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_timeout
-          FROM events)
-        SELECT event_id, user_id,
-               CASE WHEN last_timeout > ts - INTERVAL 12 HOUR THEN 'fallback' ELSE 'primary' END AS provider
-        FROM w""",
+    "attempt_resolve": _RESOLVED,
+    "attempt_resolve_stream": _RESOLVED,
+    "provider_window": _CHOSEN,
+    "provider_window_stream": _CHOSEN,
     "lookup_dedup": """
         SELECT CAST(user_id AS VARCHAR) AS key, min(event_id) AS first_offset
         FROM events GROUP BY user_id""",

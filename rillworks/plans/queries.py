@@ -69,13 +69,16 @@ from rillworks.streaming import (
     COUNTS,
     IDS,
     LAST,
+    append_stream,
     changelog_stream,
+    choose_provider_stream,
     drain,
     index_stream,
     last_documents_stream,
     last_values_stream,
     line_index_stream,
     lookup_ids_stream,
+    resolve_attempts_stream,
     topic_index_stream,
     total_counts_stream,
 )
@@ -363,12 +366,7 @@ def attempt_resolve(spark: SparkSession, sf: str) -> DataFrame:
     log = derived.table(spark, sf, "events").withColumn(
         "day", F.col("ts").cast("date").cast("string")
     )
-    kind = (
-        F.when(F.col("event_type") == "error", ERROR)
-        .when(F.col("event_type") == "view", TIMEOUT)
-        .otherwise(SUCCESS)
-    )
-    return resolve_attempts(log, ["user_id", "day"], kind, "event_id")
+    return resolve_attempts(log, ["user_id", "day"], _lookup_kind(), "event_id")
 
 
 def provider_window(spark: SparkSession, sf: str) -> DataFrame:
@@ -379,6 +377,59 @@ def provider_window(spark: SparkSession, sf: str) -> DataFrame:
     return chosen.select("event_id", "user_id", "provider")
 
 
+def _arriving(spark: SparkSession, sf: str, batches: int = 3):
+    """The events batch by batch, out of order within bounds; yields them as a stream.
+
+    The last batch holds one row without a user, long after all others, so that time
+    moves past them.
+    """
+    path = scratch_dir(spark, "arriving")
+    events = derived.table(spark, sf, "events").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")
+    )
+    n = max(1, events.count())
+    late = F.col("event_id") + F.pmod(F.col("event_id") * 37, F.lit(max(1, n // 25)))
+    part = F.least(F.floor(late * batches / n), F.lit(batches - 1))
+    end = spark.range(1).select(
+        *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in ("event_id", "user_id", "event_type")],
+        F.lit("2100-01-01").cast("timestamp").alias("ts"),
+    )
+    for batch, rows in enumerate([*(events.where(part == b) for b in range(batches)), end]):
+        rows.write.parquet(f"{path}/batch={batch}")
+        yield spark.readStream.schema(events.schema).parquet(path)
+
+
+def _lookup_kind() -> Column:
+    return (
+        F.when(F.col("event_type") == "error", ERROR)
+        .when(F.col("event_type") == "view", TIMEOUT)
+        .otherwise(SUCCESS)
+    )
+
+
+def attempt_resolve_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches and the end, each a restart on one checkpoint."""
+    path, checkpoint = scratch_dir(spark, "resolved"), scratch_dir(spark, "checkpoint")
+    for events in _arriving(spark, sf):
+        day = F.when(F.col("user_id").isNotNull(), F.col("ts").cast("date").cast("string"))
+        log = events.withColumn("day", day)
+        over = F.date_add(F.col("ts").cast("date"), 1)
+        settled = resolve_attempts_stream(log, ["user_id", "day"], _lookup_kind(), "event_id", over, "4 days")
+        drain(append_stream(settled, path, checkpoint))
+    return spark.read.schema(settled.schema).parquet(path)
+
+
+def provider_window_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches and the end, each a restart on one checkpoint."""
+    path, checkpoint = scratch_dir(spark, "chosen"), scratch_dir(spark, "checkpoint")
+    for events in _arriving(spark, sf):
+        timed_out = F.col("event_type") == "error"
+        chosen = choose_provider_stream(events, ["user_id"], "event_id", timed_out, "4 days", 12 * 3600)
+        drain(append_stream(chosen, path, checkpoint))
+    found = spark.read.schema(chosen.schema).parquet(path)
+    return found.select(F.col("at").alias("event_id"), "user_id", "provider")
+
+
 def lookup_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return first_per_key(derived.user_requests(spark, sf))
 
@@ -530,7 +581,9 @@ QUERIES: dict[str, Query] = {
     "published_last": published_last,
     "delivery_metrics": delivery_counts,
     "attempt_resolve": attempt_resolve,
+    "attempt_resolve_stream": attempt_resolve_stream,
     "provider_window": provider_window,
+    "provider_window_stream": provider_window_stream,
     "lookup_dedup": lookup_dedup,
     "lookup_ids": lookup_ids,
     "lookup_pending": lookup_pending,

@@ -1,8 +1,10 @@
 from rillworks.streaming.changelog import changelog_stream  # noqa: F401
+from rillworks.streaming.lookups import choose_provider_stream, resolve_attempts_stream  # noqa: F401
 from rillworks.streaming.runs import (  # noqa: F401
     COUNTS,
     IDS,
     LAST,
+    append_stream,
     drain,
     index_stream,
     last_documents_stream,

@@ -52,6 +52,14 @@ def drain(writer: DataStreamWriter) -> int:
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
+def append_stream(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """New rows to Parquet files, each batch once."""
+    return (
+        rows.writeStream.format("parquet").outputMode("append")
+        .option("path", path).option("checkpointLocation", checkpoint)
+    )
+
+
 def _latest_batch_rows(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
