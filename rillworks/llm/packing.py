@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillworks.llm.land import land
+from rillworks.llm.text import slices
 from rillworks.llm.tokens import word_ids
 
 END_ID = 1
@@ -39,21 +40,23 @@ def token_pieces(docs: DataFrame, capacity: int, vocabulary: str) -> DataFrame:
     """Pieces of ``id, text``, each with the checksum of its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_ids(vocabulary)
-        end = np.array([END_ID], "<u4").tobytes()
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1))):
-                ids = (encode(text) if text else b"") + end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    for column, value in zip(rows, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part))):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, kinds)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            for texts in slices(batch.column(1), 4 << 20):
+                at, ids = word_ids(texts, vocabulary)
+                n = len(at) - 1
+                # The end id follows the ids of each text.
+                ids, at = np.insert(ids, at[1:], END_ID), at + np.arange(n + 1)
+                pieces = -(-np.diff(at) // capacity)
+                row = np.repeat(np.arange(n), pieces)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(capacity, np.diff(at)[row] - start)
+                raw, begin = memoryview(ids.astype("<u4").tobytes()), 4 * (at[row] + start)
+                sums = [zlib.crc32(raw[a : a + 4 * m]) for a, m in zip(begin.tolist(), length.tolist())]
+                doc_id = batch.column(0).take(pa.array(texts.first + row))
+                columns = [doc_id, pa.array(piece, pa.int32()), *(pa.array(c, pa.int64()) for c in (start, length, sums))]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(run, PIECES)
 
@@ -128,8 +131,9 @@ def _pack(pieces: DataFrame, parts: int, capacity: int, round_no: int, last: boo
         out = out.append_column("bound", pa.array(np.full(len(bins), bound), pa.int64()))
         yield from out.to_batches(max_chunksize=10_000)
 
-    dealt = pieces.repartition(parts, F.xxhash64("doc_id", "piece", "start", "ids_crc32"))
-    return dealt.mapInArrow(run, PACKED)
+    # By place in the written table, so that equal rows are dealt like any others.
+    placed = pieces.withColumn("row", F.monotonically_increasing_id())
+    return placed.repartition(parts, F.xxhash64("row")).drop("row").mapInArrow(run, PACKED)
 
 
 def pack_documents(

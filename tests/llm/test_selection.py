@@ -235,7 +235,7 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES if q != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
 
 
 def test_long_unseen_words_cost_by_their_length(spark):
