@@ -19,19 +19,21 @@ none) and is selected.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillworks.llm.land import broadcast_below, land
 from rillworks.llm.text import _LOWER, Texts, Words, mix, prefix_hashes, slices, spans, words
 
 #: Rated documents of each grade that the fit may use.
-PER_GRADE = 2_000
+PER_GRADE = 3_000
+#: Rows of the sample up to which their ids are broadcast.
+MOST_BROADCAST = 1_000_000
 TRIPLE_BITS = 12
 N_TRIPLES, N_SHARES = 1 << TRIPLE_BITS, 2
 #: Features of every text; those of known words come after them.
@@ -43,6 +45,8 @@ SPARSE = 3e-3
 STEM = 4
 #: Words of a smaller weight in the sparse fit are left out of the second.
 LEAST_WEIGHT = 0.3
+#: Rated documents whose features are widened at once in a fit.
+_ROWS = 512
 #: Triple shares are small numbers; this brings them near the presence of words.
 TRIPLE_SCALE = 8.0
 
@@ -106,6 +110,23 @@ def scores(x: Features, weights: np.ndarray) -> np.ndarray:
     return np.add.reduceat(weights.astype(np.float32)[x.index] * x.value, x.at[:-1], dtype=np.float64) if len(x.at) > 1 else np.zeros(0)
 
 
+def _blocks(x: Features) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Some rows of a sparse matrix at a time: first and last row, index, value."""
+    for first in range(0, len(x.at) - 1, _ROWS):
+        last = min(first + _ROWS, len(x.at) - 1)
+        cut = slice(x.at[first], x.at[last])
+        yield first, last, x.index[cut], x.value[cut].astype(np.float32)
+
+
+def _row_scores(x: Features, weights: np.ndarray) -> np.ndarray:
+    """:func:`scores`, some rows at a time."""
+    weights = weights.astype(np.float32)
+    out = np.zeros(len(x.at) - 1)
+    for first, last, index, value in _blocks(x):
+        out[first:last] = np.add.reduceat(weights[index] * value, x.at[first:last] - x.at[first], dtype=np.float64)
+    return out
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
@@ -142,7 +163,6 @@ def fit_ordinal(
     few rated documents hold, or that say nothing of the grade, get none.
     """
     n = len(grade)
-    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(x.at))
     gaps = np.zeros(n_grades - 1)
     gaps[0] = -1.0
     part = np.zeros(size + n_grades - 1)
@@ -151,7 +171,7 @@ def fit_ordinal(
     for step in range(1, steps + 1):
         w, g = part[:size], part[size:]
         cuts = g[0] + np.concatenate([[0.0], np.cumsum(np.exp(g[1:]))])
-        s = scores(x, w)
+        s = _row_scores(x, w)
         padded = np.concatenate([[-np.inf], cuts, [np.inf]])
         low, high = padded[grade], padded[grade + 1]
         below, above = _sigmoid(low - s), _sigmoid(high - s)
@@ -159,7 +179,9 @@ def fit_ordinal(
         dl, dh = below * (1 - below), above * (1 - above)
         pull = (dl - dh) / p / n  # of the log likelihood, by the score
         slope = np.zeros_like(part)
-        slope[:size] = -np.bincount(x.index, weights=x.value * pull.astype(np.float32)[row], minlength=size)
+        for a, b, index, value in _blocks(x):
+            push = np.repeat(pull[a:b].astype(np.float32), np.diff(x.at[a : b + 1]))
+            slope[:size] -= np.bincount(index, weights=value * push, minlength=size)
         slope[FIXED:size] = _shrunk(slope[FIXED:size], w[FIXED:], sparse)
         by_cut = np.zeros(n_grades + 1)
         np.add.at(by_cut, grade + 1, dh / p / n)
@@ -186,29 +208,21 @@ def _sample(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, per
         .groupBy("id")
         .agg(F.min("grade").alias("grade"))
     )
-    grades = sorted(r[0] for r in lowest.select("grade").distinct().limit(64).collect())
+    grades = sorted(r[0] for r in lowest.select("grade").distinct().collect())
     if len(grades) < 2:
         return grades, None
-    chosen = reduce(
-        DataFrame.unionByName,
-        (lowest.where(F.col("grade") == g).orderBy(F.xxhash64("id"), "id").limit(per_grade) for g in grades),
-    )
+    draw = Window.partitionBy("grade").orderBy(F.xxhash64("id"), "id")
+    chosen = lowest.withColumn("_n", F.row_number().over(draw)).where(F.col("_n") <= per_grade).drop("_n")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # The sample is bounded by rows that carry two numbers each.
-    return grades, texts.join(F.broadcast(chosen), "id")
+    # At most so many rows of two numbers each.
+    return grades, texts.join(broadcast_below(chosen, len(grades) * per_grade, MOST_BROADCAST), "id")
 
 
-def fit(
-    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_grade: int = PER_GRADE
-) -> Model:
-    """Fit on ``ratings(<id_col>, grade)``; grades are integers, higher is better."""
-    grades, rated = _sample(docs, ratings, id_col, text_col, per_grade)
-    none = np.zeros(0, np.uint64)
-    empty = Model(grades or [0], none, np.zeros(FIXED, np.float32), np.zeros(0))
-    if rated is None:
-        return empty
+def _marks_of(rated: DataFrame) -> DataFrame:
+    """``id, grade, hashes, index, value``: words and other features of the rated texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.uint64)
         for batch in batches:
             for texts in slices(batch.column(1)):
                 marks, n = word_marks(texts), len(texts.at) - 1
@@ -216,40 +230,85 @@ def fit(
                 order = np.lexsort((marks[0], marks[1]))
                 hashes, of = marks[0][order], marks[1][order]
                 new = np.append(True, (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])) if len(of) else np.zeros(0, bool)
-                hashes, cut = hashes[new], np.searchsorted(of[new], np.arange(n + 1))
+                hashes, cut = hashes[new], np.searchsorted(of[new], np.arange(n + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first, n),
                         batch.column(2).slice(texts.first, n),
-                        pa.array([hashes[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                        pa.ListArray.from_arrays(cut, pa.array(hashes.view(np.int64))),
                         pa.array([x.index[a:b].tobytes() for a, b in zip(x.at, x.at[1:])], pa.binary()),
                         pa.array([x.value[a:b].astype(np.float16).tobytes() for a, b in zip(x.at, x.at[1:])], pa.binary()),
                     ],
                     ["id", "grade", "hashes", "index", "value"],
                 )
 
-    rows = rated.select("id", "text", "grade").mapInArrow(run, "id long, grade int, hashes binary, index binary, value binary")
-    rows = rows.toArrow()
-    rows = rows.take(pc.sort_indices(rows.column("id")))
-    if not rows.num_rows:
+    kinds = "id long, grade int, hashes array<long>, index binary, value binary"
+    return rated.select("id", "text", "grade").mapInArrow(run, kinds)
+
+
+def _with_known(marks: DataFrame, known: np.ndarray) -> DataFrame:
+    """``id, grade, index, value``: only the words that a fit may use are left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            index, value = [], []
+            for mine, i, v in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                mine = mine.values.to_numpy().view(np.uint64)
+                at = np.minimum(np.searchsorted(known, mine), max(len(known) - 1, 0))
+                at = at[known[at] == mine] if len(known) else at[:0]
+                index.append(np.append(np.frombuffer(i, np.int32), FIXED + at).astype(np.int32).tobytes())
+                value.append(np.append(np.frombuffer(v, np.float16), np.ones(len(at), np.float16)).tobytes())
+            columns = [batch.column(0), batch.column(1), pa.array(index, pa.binary()), pa.array(value, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "grade", "index", "value"])
+
+    return marks.mapInArrow(run, "id long, grade int, index binary, value binary")
+
+
+def _fitted(rows: DataFrame, grades: list[int], known: np.ndarray) -> DataFrame:
+    """One row, the model, fitted in one task on the bounded sample."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table.column("id")))
+        small = np.uint16 if FIXED + len(known) < 1 << 16 else np.int32
+        index = [np.frombuffer(b.as_buffer(), np.int32).astype(small) for b in table.column("index")]
+        value = [np.frombuffer(b.as_buffer(), np.float16) for b in table.column("value")]
+        at = np.cumsum([0, *map(len, index)])
+        x = Features(at, np.concatenate(index), np.concatenate(value))
+        grade = np.searchsorted(grades, table.column("grade").to_numpy())
+        del table, index, value
+        kept, weights, cuts = fit_selected(x, len(known), grade, len(grades))
+        parts = [known[kept].tobytes(), weights.astype(np.float32).tobytes(), cuts.astype(np.float64).tobytes()]
+        return pa.table({k: pa.array([p], pa.binary()) for k, p in zip(("known", "weights", "cuts"), parts)})
+
+    return rows.groupBy().applyInArrow(run, "known binary, weights binary, cuts binary")
+
+
+def fit(
+    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_grade: int = PER_GRADE
+) -> Model:
+    """Fit on ``ratings(<id_col>, grade)``; grades are integers, higher is better.
+
+    The sample's words are counted by Spark; those in too few of its texts to get a
+    weight are left out before the fit, which runs in a task. The driver gets the model.
+    """
+    grades, rated = _sample(docs, ratings, id_col, text_col, per_grade)
+    empty = Model(grades or [0], np.zeros(0, np.uint64), np.zeros(FIXED, np.float32), np.zeros(0))
+    if rated is None:
+        return empty
+    marks = land(_marks_of(rated), "rated")
+    n = marks.count()
+    if not n:
         return empty
-    hashes = [np.frombuffer(b, np.uint64) for b in rows.column("hashes").to_pylist()]
-    seen, count = np.unique(np.concatenate(hashes), return_counts=True)
-    known = seen[count > SPARSE * rows.num_rows]
-    index, value = [], []
-    for mine, i, v in zip(hashes, rows.column("index").to_pylist(), rows.column("value").to_pylist()):
-        at = np.minimum(np.searchsorted(known, mine), max(len(known) - 1, 0))
-        at = at[known[at] == mine] if len(known) else at[:0]
-        index.append(np.concatenate([np.frombuffer(i, np.int32), FIXED + at]).astype(np.int32))
-        value.append(np.concatenate([np.frombuffer(v, np.float16).astype(np.float32), np.ones(len(at), np.float32)]))
-    grade = np.searchsorted(grades, rows.column("grade").to_numpy())
-    at = np.cumsum([0, *map(len, index)])
-    # The sample is held once from here on.
-    del rows, hashes, seen, count
-    x = Features(at, np.concatenate(index), np.concatenate(value))
-    del index, value
-    kept, weights, cuts = fit_selected(x, len(known), grade, len(grades))
-    return Model(grades, known[kept], weights, cuts)
+    words_of = marks.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n"))
+    frequent = words_of.where(F.col("n") > SPARSE * n).select("hash").toArrow()
+    known = np.sort(frequent.column("hash").to_numpy().view(np.uint64))
+    model = _fitted(_with_known(marks, known), grades, known).first()
+    return Model(
+        grades,
+        np.frombuffer(bytes(model["known"]), np.uint64),
+        np.frombuffer(bytes(model["weights"]), np.float32),
+        np.frombuffer(bytes(model["cuts"]), np.float64),
+    )
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
