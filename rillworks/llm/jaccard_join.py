@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillworks.llm.land import broadcast_below, components, land
+from rillworks.llm.land import broadcast_below, components, land, release
 from rillworks.llm.text import shingles, slices, words
 
 #: Prefixes must share one run more for so many runs of the set.
@@ -321,9 +321,10 @@ def link_documents(
 ) -> DataFrame:
     """``<id_col>, n_shingles, component_id`` per row of ``docs``."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = land(text_sets(texts, width, percent), "sets")
+    headed = land(text_sets(texts, width, percent), "sets")
+    sets = land(headed.drop("head"), "keys")
     classes = sets.where("set_key is not null and id is not null").groupBy("set_key").agg(F.min("id").alias("node"))
-    first = sets.where("id is not null").join(classes, "set_key").where("id = node")
+    first = headed.where("id is not null").join(classes, "set_key").where("id = node")
     runs = first.select("node", "n_shingles", F.explode("head").alias("run"))
     needed = F.expr(f"1 + div(div(n_shingles * {percent} + 99, 100), {SHARED_PER})").cast("long")
 
@@ -334,16 +335,19 @@ def link_documents(
         enough = kept.groupBy(*who, "n_shingles").agg(F.count("*").alias("m")).where(F.col("m") >= needed)
         return kept.join(enough.select(*who), [*who], "left_semi")
 
-    left = land(sharing(runs, "node").drop("n"), "runs")
+    shared = land(sharing(runs, "node").drop("n"), "runs")
+    release(headed)
     # Sizes of partners lie in one class or in neighbours: both documents enter the upper one.
     size_class = F.floor(F.log(F.col("n_shingles")) / F.lit(float(np.log(100 / percent)) * (1 + 1e-9)))
-    left = left.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
-    left = left.withColumn("run", F.xxhash64("run", "class"))
-    left = land(sharing(left, "node", "class"), "runs")
+    left = shared.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
+    near = left.withColumn("run", F.xxhash64("run", "class"))
+    near = land(sharing(near, "node", "class"), "runs")
+    release(shared)
     # Of the runs that prefixes share, a link can miss the most frequent ones but for one.
     by_count = Window.partitionBy("node", "class").orderBy(F.desc("n"), "run")
-    rare = left.withColumn("place", F.row_number().over(by_count)).where(F.col("place") >= needed)
+    rare = near.withColumn("place", F.row_number().over(by_count)).where(F.col("place") >= needed)
     rare = land(rare.select("node", "n_shingles", "run"), "rare")
+    release(near)
     hub = rare.groupBy("run").agg(F.min("node").alias("b"))
     coarse = components(rare.join(hub, "run").select(F.col("node").alias("a"), "b").where("a <> b"), "groups")
     members = land(

@@ -16,10 +16,19 @@ def land(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(landed: DataFrame) -> None:
+    """Delete a landed table that nothing reads any more, as what came from it has landed too."""
+    spark = landed.sparkSession
+    files = landed.inputFiles()
+    if files:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def numbered(df: DataFrame, into: str, name: str) -> DataFrame:
     """``df``, written, with whole numbers from 1 without gaps; no task sees all rows."""
     row = F.monotonically_increasing_id()
