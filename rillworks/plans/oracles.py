@@ -179,6 +179,16 @@ _CHOSEN = """
                CASE WHEN last_timeout > ts - INTERVAL 12 HOUR THEN 'fallback' ELSE 'primary' END AS provider
         FROM w"""
 
+_DELIVERED = f"""
+        WITH {_ENRICHED}
+        SELECT count(*) AS received,
+               count(*) FILTER (provider = 'primary') AS from_primary,
+               count(*) FILTER (provider = 'fallback') AS from_fallback,
+               count(*) FILTER (provider = 'raw') AS failed,
+               count(*) FILTER (unwanted) AS filtered_out,
+               count(*) FILTER (NOT unwanted) AS delivered
+        FROM enriched"""
+
 ORACLES: dict[str, str] = {
     "payload_normalize": f"""
         WITH {_MESSAGES}, p AS ({_PAYLOAD})
@@ -261,15 +271,8 @@ ORACLES: dict[str, str] = {
         SELECT CAST(user_id AS VARCHAR) AS key, max_by(doc, event_id) AS value,
                max(event_id) AS "offset"
         FROM events JOIN cat ON id = event_id GROUP BY user_id""",
-    "delivery_metrics": f"""
-        WITH {_ENRICHED}
-        SELECT count(*) AS received,
-               count(*) FILTER (provider = 'primary') AS from_primary,
-               count(*) FILTER (provider = 'fallback') AS from_fallback,
-               count(*) FILTER (provider = 'raw') AS failed,
-               count(*) FILTER (unwanted) AS filtered_out,
-               count(*) FILTER (NOT unwanted) AS delivered
-        FROM enriched""",
+    "delivery_metrics": _DELIVERED,
+    "delivery_metrics_stream": _DELIVERED,
     "attempt_resolve": _RESOLVED,
     "attempt_resolve_stream": _RESOLVED,
     "provider_window": _CHOSEN,
@@ -286,6 +289,19 @@ ORACLES: dict[str, str] = {
         FROM lineitem WHERE l_partkey NOT IN (SELECT id FROM cat) GROUP BY l_partkey""",
     "last_state": _LAST,
     "last_state_stream": _LAST,
+    "last_state_snapshot": _LAST,
+    "state_store_read": _LAST,
+    "split_write": f"""
+        SELECT CASE WHEN event_id % 10 = 2 THEN 'rejected' ELSE 'good' END AS verdict,
+               event_id AS "offset", {_RAW_MESSAGE} AS value
+        FROM events""",
+    "enrich_late_stream": f"""
+        WITH {_CATALOGUE}
+        SELECT CAST(user_id AS VARCHAR) AS key, event_id AS "offset",
+               CASE WHEN event_id % 3 < 2 THEN coalesce(provider, 'raw') ELSE 'raw' END AS provider,
+               CASE WHEN event_id % 3 < 2 AND doc IS NOT NULL THEN doc
+                    ELSE '{{"anime_id":' || event_id || ',"title":"' || event_type || '"}}' END AS value
+        FROM events LEFT JOIN cat ON id = event_id""",
     "last_enriched": f"""
         WITH {_CATALOGUE}
         SELECT CAST(user_id AS VARCHAR) AS key, max_by(doc, event_id) AS value,

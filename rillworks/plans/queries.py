@@ -27,8 +27,9 @@ from rillworks.operators.enrich import (
 from rillworks.operators.genres import exclude_enriched
 from rillworks.operators.lines import keep_whole_units, parse_lines
 from rillworks.operators.metrics import delivery_metrics
-from rillworks.operators.payloads import guarded, normalize_payload, rejected_payloads, with_username
+from rillworks.operators.payloads import guarded, is_json, normalize_payload, rejected_payloads, with_username
 from rillworks.operators.ranking import page_documents, page_ids, rank_pages
+from rillworks.operators.split import read_split, split_write
 from rillworks.operators.state import last_documents, last_values
 from rillworks.plans import derived, flows
 from rillworks.schemas import (
@@ -55,6 +56,7 @@ from rillworks.sinks import (
     write_index,
     write_topic_stream,
 )
+from rillworks.sinks.snapshots import compact, read_snapshot
 from rillworks.sources import (
     note_positions,
     raw_lines,
@@ -69,20 +71,32 @@ from rillworks.streaming import (
     COUNTS,
     IDS,
     LAST,
+    DeliveryListener,
     append_stream,
     changelog_stream,
     choose_provider_stream,
+    delivery_totals,
     drain,
+    enrich_late,
+    feed_stream,
     index_stream,
     last_documents_stream,
+    last_store_stream,
     last_values_stream,
     line_index_stream,
     lookup_ids_stream,
+    read_deliveries,
+    read_store,
     resolve_attempts_stream,
+    rocksdb_state,
     topic_index_stream,
     total_counts_stream,
 )
 
+#: The store that keeps the last value of each key, by name.
+LAST_STORE = "last_value"
+LAST_ROWS = "key string, value string, offset bigint"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -129,6 +143,12 @@ def rejects(spark: SparkSession, sf: str) -> DataFrame:
     return rejected_payloads(derived.messages(spark, sf)).select("offset", "value")
 
 
+def split_messages(spark: SparkSession, sf: str) -> DataFrame:
+    path, records = scratch_dir(spark, "split"), derived.messages(spark, sf)
+    split_write(records, is_json("value"), path)
+    return read_split(spark, path, records).select("verdict", "offset", "value")
+
+
 def message_count(spark: SparkSession, sf: str) -> DataFrame:
     return count_messages(with_username(derived.messages(spark, sf)))
 
@@ -353,6 +373,69 @@ def published_last(spark: SparkSession, sf: str) -> DataFrame:
     return last_values(read_topic(spark, topic)).select("key", "value")
 
 
+def delivery_metrics_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches, each a restart; the table is written while they run."""
+    documents, checkpoint = _written(spark, sf), scratch_dir(spark, "checkpoint")
+    notes, path = scratch_dir(spark, "deliveries"), scratch_dir(spark, "feed")
+    listener = DeliveryListener(spark, notes)
+    spark.streams.addListener(listener)
+    try:
+        for topic in _in_batches(spark, derived.requests(spark, sf), TOPIC_CSV, F.col("value")):
+            feed = feed_stream(stream_topic(spark, topic), documents, path, checkpoint, derived.EXPLICIT)
+            with rocksdb_state(spark):
+                query = feed.trigger(availableNow=True).start()
+                query.awaitTermination()
+            listener.wait(str(query.runId))
+    finally:
+        spark.streams.removeListener(listener)
+    return delivery_totals(read_deliveries(spark, notes))
+
+
+def enrich_late_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests and answers as two streams; of three answers one is early, one late, one too late."""
+    asked, came = scratch_dir(spark, "requests"), scratch_dir(spark, "answers")
+    path, checkpoint = scratch_dir(spark, "enriched"), scratch_dir(spark, "checkpoint")
+    requests = derived.user_requests(spark, sf)
+    n = max(1, requests.count())
+    turn = F.col("id") % 3
+    answers = (
+        _documents(spark, sf)
+        .join(derived.table(spark, sf, "events").select(F.col("event_id").cast("int").alias("id"), "ts"), "id")
+        .select(
+            "id", "provider", "document",
+            (
+                F.col("ts").cast("timestamp")
+                + F.when(turn == 0, F.expr("INTERVAL '-1' HOUR")).when(turn == 1, F.expr("INTERVAL '2' HOUR"))
+                .otherwise(F.expr("INTERVAL '60' DAY"))
+            ).alias("answered_at"),
+        )
+    )
+    answers = answers.withColumn("part", F.least(F.floor((F.col("id") + n // 25) * 3 / n), F.lit(2)))
+    held = scratch_dir(spark, "all-answers")
+    answers.write.parquet(held)
+    answers = spark.read.schema(answers.schema).parquet(held)
+    placed = requests.withColumn("part", F.least(F.floor(F.col("offset") * 3 / n), F.lit(2)))
+    end = F.lit("2100-01-01").cast("timestamp")
+    for batch in range(4):
+        if batch < 3:
+            left = placed.where(F.col("part") == batch).drop("part")
+            right = answers.where(F.col("part") == batch).drop("part")
+        else:
+            # The end of time on both sides, so that every request is settled.
+            left = requests.limit(1).withColumns({"key": F.lit("end"), "timestamp": end})
+            right = answers.limit(1).drop("part").withColumns({"id": F.lit(-1), "answered_at": end})
+        left.write.parquet(f"{asked}/batch={batch}")
+        right.write.parquet(f"{came}/batch={batch}")
+        late = enrich_late(
+            stream_topic(spark, asked),
+            spark.readStream.schema(answers.drop("part").schema).parquet(came),
+            "1 DAY", "1 DAY", "4 days",
+        )
+        drain(append_stream(late, path, checkpoint))
+    found = spark.read.schema(late.schema).parquet(path)
+    return found.where("key <> 'end'").select("key", "offset", "provider", "value")
+
+
 def delivery_counts(spark: SparkSession, sf: str) -> DataFrame:
     return delivery_metrics(
         derived.requests(spark, sf), _documents(spark, sf), derived.EXPLICIT
@@ -454,6 +537,27 @@ def last_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     return last_values(spark.read.schema(LAST).parquet(path))
 
 
+def last_state_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches with a compaction after each; one generation is read."""
+    path, root, checkpoint = (scratch_dir(spark, n) for n in ("last", "snapshots", "checkpoint"))
+    topic, asked = scratch_dir(spark, "csv-raw"), derived.user_requests(spark, sf)
+    for batch in range(3):
+        asked.where(F.col("offset") % 3 == batch).write.mode("append").parquet(topic)
+        drain(last_values_stream(stream_topic(spark, topic), path, checkpoint))
+        compact(spark, path, root, LAST_ROWS, ["key"], last_values)
+    return read_snapshot(spark, root, LAST_ROWS).select("key", "value", "offset")
+
+
+def state_store_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches into a named store, which is read as a table."""
+    path, checkpoint, topic = (scratch_dir(spark, n) for n in ("changes", "checkpoint", "csv-raw"))
+    asked = derived.user_requests(spark, sf)
+    for batch in range(3):
+        asked.where(F.col("offset") % 3 == batch).write.mode("append").parquet(topic)
+        drain(append_stream(last_store_stream(stream_topic(spark, topic), LAST_STORE), path, checkpoint))
+    return read_store(spark, checkpoint, LAST_STORE)
+
+
 def last_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return last_documents(derived.user_requests(spark, sf), _documents(spark, sf))
 
@@ -550,6 +654,7 @@ QUERIES: dict[str, Query] = {
     "payload_normalize": payload_normalize,
     "payload_topic": payload_topic,
     "rejects": rejects,
+    "split_write": split_messages,
     "message_count": message_count,
     "message_count_changelog": message_count_changelog,
     "topic_write": topic_write,
@@ -580,6 +685,8 @@ QUERIES: dict[str, Query] = {
     "raw_guard": raw_guard,
     "published_last": published_last,
     "delivery_metrics": delivery_counts,
+    "delivery_metrics_stream": delivery_metrics_stream,
+    "enrich_late_stream": enrich_late_stream,
     "attempt_resolve": attempt_resolve,
     "attempt_resolve_stream": attempt_resolve_stream,
     "provider_window": provider_window,
@@ -589,6 +696,8 @@ QUERIES: dict[str, Query] = {
     "lookup_pending": lookup_pending,
     "last_state": last_state,
     "last_state_stream": last_state_stream,
+    "last_state_snapshot": last_state_snapshot,
+    "state_store_read": state_store_read,
     "last_enriched": last_enriched,
     "last_enriched_stream": last_enriched_stream,
     "lookup_ids_stream": lookup_ids_over_batches,

@@ -57,3 +57,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that readers see whole or not at all; one of that name is replaced."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    hidden = jvm.org.apache.hadoop.fs.Path(where.getParent(), f"_{uuid.uuid4().hex}")
+    system = where.getFileSystem(conf)
+    out = system.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not system.rename(hidden, where):
+        system.delete(where, False)
+        system.rename(hidden, where)
