@@ -15,17 +15,17 @@ Nulls and extras: rows with a null id, a null or an empty text stay as they
 are. Repeated rows (same id and text) are one document: none is a repeat of the
 other, and both lose the same lines. Rows of one id with other texts are ordered
 by their text's hash. A document left without any line that is not blank is
-empty afterwards (``drop_emptied`` drops it). Extra columns stay. Runs that are
+empty afterwards (``drop_emptied`` drops it). Extra columns stay, whatever their names. Runs that are
 shorter in bytes than ``min_bytes`` stay, whatever their number of lines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillworks.llm.land import land
@@ -109,7 +109,7 @@ def repeated_lines(
     text_col: str = "text",
     extend: bool = False,
 ) -> DataFrame:
-    """``id, of, lines``: the numbers of the lines that belong to later repeated runs."""
+    """``id, of, runs``: the lines that belong to later repeated runs, as intervals."""
     texts = (
         docs.where(F.col(id_col).isNotNull() & (F.length(text_col) > 0))
         .select(
@@ -140,10 +140,31 @@ def repeated_lines(
     later = met.join(first, "whole").where(F.struct("id", "of", "line") > F.col("first"))
     # A longer run adds its last line: the shorter ones from there are repeated too.
     last = F.col("line") + F.col("n_lines") - 1 + F.col("more")
-    lines = later.select(
-        "id", "of", F.explode(F.sequence(F.when(F.col("more") > 0, last).otherwise(F.col("line")), last)).alias("line")
-    )
-    return lines.groupBy("id", "of").agg(F.array_sort(F.collect_set("line")).alias("lines"))
+    runs = later.select("id", "of", F.when(F.col("more") > 0, last).otherwise(F.col("line")).alias("a"), last.alias("b"))
+    return _merged(runs)
+
+
+def _merged(runs: DataFrame) -> DataFrame:
+    """``id, of, runs``: lines ``a`` to ``b`` of a text, those that meet or overlap made one."""
+    earlier = Window.partitionBy("id", "of").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("id", "of").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, 0)
+    apart = F.coalesce(F.col("a") > F.max("b").over(earlier) + 1, F.lit(True))
+    # Windows of one start are one interval, so a text has one row per line at most.
+    longest = runs.groupBy("id", "of", "a").agg(F.max("b").alias("b"))
+    islands = longest.withColumn("new", apart.cast("int")).withColumn("island", F.sum("new").over(upto))
+    whole = islands.groupBy("id", "of", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return whole.groupBy("id", "of").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+
+
+def count_columns(columns: Sequence[str]) -> tuple[str, str]:
+    """The names of the two columns with counts: ``_lines`` and ``_removed``, with more
+    underscores before them where a table has columns of that name."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in ("_lines", "_removed"):
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out[0], out[1]
 
 
 def drop_repeated_lines(
@@ -154,27 +175,36 @@ def drop_repeated_lines(
     drop_emptied: bool = False,
     extend: bool = False,
 ) -> DataFrame:
-    """``docs`` without later repeated runs, and the columns ``_lines``, ``_removed``.
+    """``docs`` without later repeated runs, and two columns of :func:`count_columns`:
+    the lines of each text and how many of them went.
 
     ``extend``: runs go to their last equal line, also after their last full window.
     """
-    found = repeated_lines(docs, min_bytes, id_col, text_col, extend).select(
-        F.col("id").alias("_id"), F.col("of").alias("_of"), F.col("lines").alias("_gone")
-    )
-    names = docs.columns
-    parts = F.split(text_col, "\n", -1)
-    kept = F.array_join(F.filter(parts, lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    rows = docs.join(
-        found,
-        (F.col(id_col).cast("long") == F.col("_id")) & (F.xxhash64(text_col) == F.col("_of")),
-        "left",
-    )
-    cut = F.col("_gone").isNotNull()
-    out = rows.select(
-        *[F.when(cut, kept).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in names],
-        F.coalesce(F.size(F.when(F.length(text_col) > 0, parts)), F.lit(0)).alias("_lines"),
-        F.coalesce(F.when(cut, F.size("_gone")), F.lit(0)).alias("_removed"),
+    found = repeated_lines(docs, min_bytes, id_col, text_col, extend)
+    # The input is one column while it is joined, so that none of its names can clash.
+    text, given = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`").cast("long")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # Rows without an id match nothing; their number spreads them.
+    key = F.when(given.isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(text))
+    rows = rows.withColumn("asked", given).withColumn("key", key)
+    joined = rows.join(found, (F.col("asked") == F.col("id")) & (F.col("key") == F.col("of")), "left")
+    parts = F.split(text, "\n", -1)
+    gone = F.flatten(F.transform("runs", lambda run: F.sequence(run["a"], run["b"])))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
+    kept = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
+    cut = F.col("runs").isNotNull()
+    removed = F.aggregate("runs", F.lit(0), lambda n, run: n + run["b"] - run["a"] + 1)
+    lines, gone_lines = count_columns(docs.columns)
+    counted = joined.select(
+        "row",
+        F.when(cut, kept).otherwise(text).alias("text"),
+        F.coalesce(F.size(F.when(F.length(text) > 0, parts)), F.lit(0)).alias("lines"),
+        F.coalesce(F.when(cut, removed), F.lit(0)).alias("removed"),
     )
     if drop_emptied:
-        out = out.where((F.col("_removed") == 0) | F.coalesce(F.col(text_col), F.lit("")).rlike(r"\S"))
-    return out
+        counted = counted.where((F.col("removed") == 0) | F.coalesce("text", F.lit("")).rlike(r"\S"))
+    return counted.select(
+        *[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns],
+        F.col("lines").alias(lines),
+        F.col("removed").alias(gone_lines),
+    )
