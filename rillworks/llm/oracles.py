@@ -29,10 +29,12 @@ hits AS (
   UNION ALL {_kind(3, "hex", "[0-9a-f]+", 0, "s >= 32")}
   UNION ALL {_kind(4, "bare", _RUNS, 0, "regexp_matches(v, '[0-9]')")}),
 own AS (
-  SELECT v, count(DISTINCT owner) AS n_owners FROM hits GROUP BY v),
+  SELECT v, count(DISTINCT owner) AS n_owners, count(DISTINCT (owner, language)) AS n_repositories
+  FROM hits GROUP BY v),
 spans AS (
-  SELECT h.doc_id, ord, kind, CAST(stop - s AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, n_owners,
-         n_owners <= 2 AND len(list_distinct(string_split(h.v, ''))) >= 10 AS specific
+  SELECT h.doc_id, ord, kind, CAST(stop - s AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop,
+         n_repositories, n_owners > 2 OR n_repositories > 4 AS copied,
+         n_owners <= 2 AND n_repositories <= 4 AND len(list_distinct(string_split(h.v, ''))) >= 10 AS specific
   FROM hits h JOIN own USING (v)),
 kept AS (
   SELECT *, kind || ':' || start || ':' || stop AS name FROM spans a
@@ -46,7 +48,8 @@ SELECT d.doc_id,
        sha256(coalesce(string_agg(name, ',' ORDER BY start, ord) FILTER (ord <= 3), '')) AS base_sha256,
        coalesce(string_agg(name, ',' ORDER BY start, ord), '') AS spans,
        count(*) FILTER (specific) AS n_owner_specific,
-       count(*) FILTER (n_owners > 2) AS n_widely_copied
+       count(*) FILTER (copied) AS n_widely_copied,
+       coalesce(max(n_repositories), 0) AS most_repositories
 FROM d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id
 """
 

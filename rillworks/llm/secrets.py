@@ -2,16 +2,17 @@
 
 Three base kinds and bare tokens are found by patterns in every whole text. A
 candidate value is then counted over the corpus: by distinct repositories (pairs
-of source and language) and distinct owners (sources). A value of many owners is
-a copied example; one of few owners that looks random is taken for live. Live
+of source and language) and distinct owners (sources). A value of many owners or of
+many repositories is a copied example; one of few that looks random is taken for live. Live
 bare tokens outside the base spans are added as spans; base spans always stay.
 
 Positions come from the lengths of the matches and of the text between them.
 
 Nulls and extras: a null text is empty; a null source or language counts as one
 owner or repository of its own; rows with a null id are scanned like others;
-repeated rows (same id and text) are scanned once and all get the result; other
-columns are ignored; an empty table gives an empty result.
+repeated rows (same id and text) are scanned once and all get the result; a table
+without ``source`` or ``lang`` has nulls there; other columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ KINDS = ("assign", "access", "hex", "bare")
 BARE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
 #: Owners up to which a value counts as owner-specific.
 FEW_OWNERS = 2
+#: Repositories up to which it does.
+FEW_REPOSITORIES = 4
 #: Distinct characters from which a value looks random.
 VARIED = 10
 
@@ -61,8 +64,10 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.xxhash64(text_col).alias("of"),
-        F.col("source").cast("string").alias("owner"),
-        F.col("lang").cast("string").alias("language"),
+        *[
+            (F.col(name) if name in docs.columns else F.lit(None)).cast("string").alias(into)
+            for name, into in (("source", "owner"), ("lang", "language"))
+        ],
         F.col(text_col).alias("text"),
     ).where(F.length("text") > 0)
     by_kind = rows.select("id", "of", "owner", "language", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("k"))
@@ -111,9 +116,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = land(found.drop("value", "kind"), "candidates")
     base = F.col("order") <= 3
     owned = ownership(found)
-    known = found.join(owned, "value_hash").withColumn("specific", (F.col("n_owners") <= FEW_OWNERS) & F.col("varied"))
+    known = found.join(owned, "value_hash").withColumn(
+        "copied", (F.col("n_owners") > FEW_OWNERS) | (F.col("n_repositories") > FEW_REPOSITORIES)
+    ).withColumn("specific", ~F.col("copied") & F.col("varied"))
     spans = known.groupBy("id", "of", "order", "start", "end").agg(
-        F.max("specific").alias("specific"), F.max("n_owners").alias("n_owners")
+        F.max("specific").alias("specific"), F.max("copied").alias("copied"),
+        F.max("n_repositories").alias("n_repositories"),
     )
     by_start = Window.partitionBy("id", "of").orderBy("start", "order")
     before = by_start.rowsBetween(Window.unboundedPreceding, -1)
@@ -131,7 +139,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.sha2(_joined(F.collect_list(F.when(base, span))), 256).alias("base_sha256"),
         _joined(F.collect_list(span)).alias("spans"),
         F.count_if("specific").alias("n_owner_specific"),
-        F.count_if(F.col("n_owners") > FEW_OWNERS).alias("n_widely_copied"),
+        F.count_if("copied").alias("n_widely_copied"),
+        F.max("n_repositories").alias("most_repositories"),
     )
     rows = docs.select(F.col(id_col), F.xxhash64(text_col).alias("of"))
     joined = rows.join(per_text, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("of") == F.col("_of")), "left")
@@ -145,4 +154,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.coalesce("spans", F.lit("")).alias("spans"),
         count("n_owner_specific"),
         count("n_widely_copied"),
+        count("most_repositories"),
     )
