@@ -208,11 +208,16 @@ def _sample(docs: DataFrame, ratings: DataFrame, id_col: str, text_col: str, per
         .groupBy("id")
         .agg(F.min("grade").alias("grade"))
     )
-    grades = sorted(r[0] for r in lowest.select("grade").distinct().collect())
+    rated = dict(map(tuple, lowest.groupBy("grade").count().collect()))
+    grades = sorted(rated)
     if len(grades) < 2:
         return grades, None
+    # The lowest hashes of a grade; those of twice as many are ranked, whatever its size.
+    most = {g: min(2**63 - 1, int(2**64 * min(1.0, 2 * per_grade / n)) - 2**63) for g, n in rated.items()}
+    below = F.create_map(*[F.lit(x) for g in grades for x in (g, most[g])])[F.col("grade")]
     draw = Window.partitionBy("grade").orderBy(F.xxhash64("id"), "id")
-    chosen = lowest.withColumn("_n", F.row_number().over(draw)).where(F.col("_n") <= per_grade).drop("_n")
+    near = lowest.where(F.xxhash64("id") <= below)
+    chosen = near.withColumn("_n", F.row_number().over(draw)).where(F.col("_n") <= per_grade).drop("_n")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # At most so many rows of two numbers each.
     return grades, texts.join(broadcast_below(chosen, len(grades) * per_grade, MOST_BROADCAST), "id")
