@@ -9,7 +9,7 @@ from rillworks.llm import quality
 from rillworks.llm.decontamination import clean_documents
 from rillworks.llm.jaccard_join import keep_first_of_each
 from rillworks.llm.land import land, stored
-from rillworks.llm.line_dedup import drop_repeated_lines
+from rillworks.llm.line_dedup import count_columns, drop_repeated_lines
 from rillworks.llm.packing import pack_documents
 
 #: Documents whose top grade is less likely than this are rejected.
@@ -25,9 +25,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines go, and documents of which nothing is left."""
     kept = drop_repeated_lines(docs, drop_emptied=True, extend=True)
+    lines, removed = count_columns(docs.columns)
     return kept.withColumn(
-        "n_chars", F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+        "n_chars", F.when(F.col(removed) > 0, F.length("text")).otherwise(F.col("n_chars"))
+    ).drop(lines, removed)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
