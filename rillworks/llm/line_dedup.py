@@ -188,7 +188,9 @@ def drop_repeated_lines(
     key = F.when(given.isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(text))
     rows = rows.withColumn("asked", given).withColumn("key", key)
     joined = rows.join(found, (F.col("asked") == F.col("id")) & (F.col("key") == F.col("of")), "left")
-    parts = F.split(text, "\n", -1)
+    # A column of its own: named in the functions below, the split would run for each line.
+    joined = joined.select("row", "runs", F.split(text, "\n", -1).alias("parts"))
+    parts = F.col("parts")
     gone = F.flatten(F.transform("runs", lambda run: F.sequence(run["a"], run["b"])))
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
     kept = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")

@@ -26,11 +26,11 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillworks.llm.land import land
@@ -47,7 +47,8 @@ _SEGMENT = 128 << 10
 #: Positions up to 2^21 let a sort carry two ranks and a position in one number.
 _PACK = 21
 _FIRST_BITS = 42
-_CROSS_RANGES = 1 << 10
+#: Strings of spread anchors that meet in one task, about.
+RANGE_STRINGS = 1 << 17
 
 
 def anchors(
@@ -287,12 +288,56 @@ def _merge_shards(table: pa.Table) -> pa.Table:
     return table.select(["of", "start", "stop"])
 
 
+def _short_name(text: Column) -> Column:
+    """The number that names a text unless another text has it too."""
+    return F.xxhash64(text)
+
+
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def text_names(docs: DataFrame, text_col: str) -> Callable[[Column], Column]:
+    """How to name each text of a table by a number that no other text of it has.
+
+    Texts whose hash belongs to two of them get one of their digest, in turns until all
+    differ. Of ``n`` texts about ``n * n / 2**65`` hashes are met twice; these alone go
+    to the driver.
+    """
+    seen = land(
+        docs.select(_short_name(F.col(text_col)).alias("of"), _digest(F.col(text_col)).alias("same")).distinct(), "names"
+    )
+    taken: list[list[int]] = []
+
+    def name(text: Column) -> Column:
+        of = _short_name(text)
+        for turn, twice in enumerate(taken):
+            of = F.when(of.isin(twice), F.xxhash64(_digest(text), F.lit(turn))).otherwise(of)
+        return of
+
+    of = F.col("of")
+    while True:
+        named = seen.withColumn("of", of)
+        twice = [r["of"] for r in named.groupBy("of").agg(F.count("*").alias("n")).where("n > 1").select("of").collect()]
+        if not twice:
+            return name
+        of = F.when(of.isin(twice), F.xxhash64("same", F.lit(len(taken)))).otherwise(of)
+        taken.append(twice)
+
+
 def removed_runs(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    name: Callable[[Column], Column] = _short_name,
 ) -> tuple[DataFrame, DataFrame]:
-    """``texts(of, text)`` that may hold repeats, and their covered ``runs(of, start, stop)``."""
+    """``texts(of, text)`` that may hold repeats, and their covered ``runs(of, start, stop)``.
+
+    ``name``: from :func:`text_names`, so that no two texts share their ``of``.
+    """
     rows = docs.where(F.octet_length(text_col) >= length).select(
-        F.xxhash64(text_col).alias("of"),
+        name(F.col(text_col)).alias("of"),
         F.col(text_col).alias("text"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("row"),
     )
@@ -355,9 +400,11 @@ def removed_runs(
     )
     sent = texts.mapInArrow(send, "shard string, spread boolean, anchor long, of long, start long, body binary")
     found = land(sent.groupBy("shard").applyInArrow(_search_shard(length), _FOUND), "repeats")
+    # Strings of spread anchors meet by hash, in so many parts that each stays small.
+    ranges = max(1, found.where("w1 is not null").count() // RANGE_STRINGS)
     crossed = (
         found.where("w1 is not null")
-        .withColumn("range", F.shiftrightunsigned("w1", 64 - 10))
+        .withColumn("range", F.pmod(F.col("w1"), F.lit(ranges)))
         .groupBy("range")
         .applyInArrow(_merge_shards, "of long, start long, stop long")
     )
@@ -367,17 +414,18 @@ def removed_runs(
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``<id_col>, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``docs``."""
+    name = text_names(docs, text_col)
     base = land(
         docs.select(
             F.col(id_col),
-            F.xxhash64(text_col).alias("of"),
-            F.unhex(F.md5(F.coalesce(text_col, F.lit("")))).alias("same"),
+            name(F.col(text_col)).alias("of"),
+            _digest(F.col(text_col)).alias("same"),
             F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
             F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("whole_sha256"),
         ),
         "texts",
     )
-    texts, runs = removed_runs(docs, id_col, text_col, length)
+    texts, runs = removed_runs(docs, id_col, text_col, length, name)
     gone = runs.groupBy("of").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
