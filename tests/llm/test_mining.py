@@ -161,7 +161,7 @@ def test_mixing_of_odd_documents(spark, odd_documents, no_documents):
     rows, total = check_mix(odd_documents)
     assert len(rows) == 12 and total == sum(len(re.findall("[^\x20\x09-\x0d]+", r.text or "")) for r in odd_documents.collect())
     assert mix_sources(no_documents).count() == 0
-    empty = spark.createDataFrame([(1, None, None), (2, "s", "")], "doc_id long, text string, source string")
+    empty = spark.createDataFrame([(1, None, None), (2, "", "s")], "doc_id long, text string, source string")
     assert [(r.target, r.taken) for r in mix_sources(empty).collect()] == [(0.0, 0), (0.0, 0)]
     same = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit("a b").alias("text"))
     both = same.unionByName(same.withColumn("source", F.lit("t")))
