@@ -101,7 +101,7 @@ CALLS = "worker long, id long, ts timestamp, kind string"
 def test_providers_are_chosen_as_in_the_batch(spark, tmp_path):
     draw = random.Random(4)
     calls = [
-        (draw.choice([7, 7, 7, 8, None if k == 1 else 9]), k, at(spark, 10 * k), draw.choice(["ok", "ok", "ok", "timeout"]))
+        (draw.choice([7, 7, 7, 8, None if k == 1 else 9]), k, at(spark, 100_000 + 10 * k), draw.choice(["ok", "ok", "ok", "timeout"]))
         for k in range(400)
     ]
     calls = [c for c in calls if c[0] is not None]

@@ -170,3 +170,28 @@ def test_lines_keep_their_place_however_files_are_cut(spark, tmp_path):
             assert again == by_place
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_are_scanned_once_or_twice(spark, tmp_path):
+    from rillworks.operators.lines import keep_whole_units, parse_lines
+    from rillworks.streaming import drain, line_index_stream
+    from rillworks.sinks import read_index
+    from rillworks.sources import raw_lines
+
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.csv").write_text("id,name\n1,x\n2,y\n3,z\n")
+    lines = str(tmp_path / "lines")
+    parsed = parse_lines(read_lines(spark, lines))
+    assert parsed.where("ok")._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert keep_whole_units(parsed)._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    # A batch that runs again gives its documents the same ids.
+    documents = spark.createDataFrame(
+        [(1, "primary", '{"id":1}', ["X"])], "id int, provider string, document string, genre_names array<string>"
+    )
+    ids = []
+    for run in range(2):
+        root = str(tmp_path / f"index{run}")
+        stream = raw_lines(spark, lines, streaming=True)
+        drain(line_index_stream(stream, documents, root, str(tmp_path / f"checkpoint{run}"), "w"))
+        ids.append(sorted((r.doc_id, r.value) for r in read_index(spark, root).collect()))
+    assert ids[0] == ids[1] and len({i for i, _ in ids[0]}) == 3
