@@ -48,7 +48,7 @@ _SEGMENT = 128 << 10
 _PACK = 21
 _FIRST_BITS = 42
 #: Strings of spread anchors that meet in one task, about.
-RANGE_STRINGS = 1 << 17
+RANGE_STRINGS = 1 << 14
 
 
 def anchors(
