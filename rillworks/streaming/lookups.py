@@ -17,7 +17,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampType
 
 from rillworks.operators.attempts import ERROR, SUCCESS
 from rillworks.schemas import MAX_TRIES, PROVIDER_WINDOW_SECONDS
@@ -26,6 +26,8 @@ from rillworks.schemas import MAX_TRIES, PROVIDER_WINDOW_SECONDS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _HELD_ROWS = 50_000
+#: Deadlines of so many milliseconds share keys of the state.
+_SLOT_MS = 3_600_000
 
 
 def _matter(rows: pd.DataFrame, request: list[str], max_tries: int, success: str, error: str) -> pd.DataFrame:
@@ -37,43 +39,101 @@ def _matter(rows: pd.DataFrame, request: list[str], max_tries: int, success: str
     return pd.concat([good, bad, any_one]).drop_duplicates([*request, "kind", "at"])
 
 
+def _as_text(field: StructField) -> Column:
+    """A part of a key as text, which pandas hands on unchanged next to nulls."""
+    if isinstance(field.dataType, TimestampType):
+        return F.unix_micros(field.name).cast("string").alias(field.name)
+    if isinstance(field.dataType, BinaryType):
+        return F.hex(field.name).alias(field.name)
+    return F.col(field.name).cast("string").alias(field.name)
+
+
+def _from_text(field: StructField) -> Column:
+    if isinstance(field.dataType, TimestampType):
+        return F.timestamp_micros(F.col(field.name).cast("long")).alias(field.name)
+    if isinstance(field.dataType, BinaryType):
+        return F.unhex(field.name).alias(field.name)
+    return F.col(field.name).cast(field.dataType).alias(field.name)
+
+
+def _pack(rows: pd.DataFrame, schema: pa.Schema) -> tuple[bytes]:
+    """Rows as one value of the state."""
+    table = pa.Table.from_pandas(rows, schema=schema, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_table(table)
+    return (sink.getvalue().to_pybytes(),)
+
+
+def _unpack(packed: tuple) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(packed[0])).read_all().to_pandas()
+
+
 class AttemptResolver(StatefulProcessor):
-    """Keeps the few attempts of a request that can matter; settles it at its deadline."""
+    """Keeps the few attempts of each request that can matter; settles them at their deadlines.
+
+    A key holds the requests of one pack whose deadlines lie in the same stretch of time,
+    so that the cost of a call is shared by many of them.
+    """
 
     def __init__(self, request: list[str], max_tries: int, success: str, error: str) -> None:
         self.request, self.max_tries, self.success, self.error = request, max_tries, success, error
+        text = [(name, pa.string()) for name in (*request, "kind")]
+        self.schema = pa.schema([*text, ("at", pa.int64()), ("due", pa.int64())])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._kept = handle.getListState("kept", "kind string, at bigint")
+        self._kept = handle.getValueState("kept", "attempts binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        kept = list(self._kept.get()) if self._kept.exists() else []
-        deadline = None
+        parts = [_unpack(self._kept.get())] if self._kept.exists() else []
+        fresh = 0
         for part in rows:
-            kept += list(zip(part["kind"], (int(at) for at in part["at"])))
-            kept = self._first(kept)
-            if deadline is None:
-                deadline = int(part["deadline"].iloc[0].timestamp() * 1000)
-        self._kept.put(kept)
-        if deadline is not None:
-            self._handle.registerTimer(deadline)
+            parts.append(part[self.schema.names])
+            fresh += len(part)
+            if fresh >= _HELD_ROWS:
+                parts, fresh = [self._first(pd.concat(parts))], 0
+        if parts:
+            kept = self._first(pd.concat(parts))
+            self._kept.update(_pack(kept, self.schema))
+            self._handle.registerTimer(int(kept["due"].min()))
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        kept = list(self._kept.get())
-        self._kept.clear()
-        errors = sorted(at for kind, at in kept if kind == self.error)[: self.max_tries]
-        first = min((at for kind, at in kept if kind == self.success), default=None)
-        in_time = first is not None and (len(errors) < self.max_tries or first < errors[-1])
-        out = {name: [value] for name, value in zip(self.request, key)}
-        yield pd.DataFrame({**out, "resolved_at": pd.array([first if in_time else None], dtype="Int64")})
-
-    def _first(self, kept: list[tuple]) -> list[tuple]:
-        some = sorted(set(map(tuple, kept)), key=lambda row: row[1])
-        good = [row for row in some if row[0] == self.success][:1]
-        bad = [row for row in some if row[0] == self.error][: self.max_tries]
-        return (good + bad) or some[:1]
+        if not self._kept.exists():
+            return
+        kept = _unpack(self._kept.get())
+        now = max(timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs())
+        over = kept["due"] <= now
+        left = kept[~over]
+        if len(left):
+            self._kept.update(_pack(left, self.schema))
+            self._handle.registerTimer(int(left["due"].min()))
+        else:
+            self._kept.clear()
+        if over.any():
+            yield self._settled(kept[over])
+
+    def _settled(self, rows: pd.DataFrame) -> pd.DataFrame:
+        number = rows.groupby(self.request, dropna=False, sort=False).ngroup()
+        requests = rows.assign(number=number).drop_duplicates("number").set_index("number")
+        good = rows[rows["kind"] == self.success].groupby(number)["at"].min()
+        errors = rows[rows["kind"] == self.error].groupby(number)["at"].agg(["size", "max"])
+        # At most max_tries errors are kept, so the last of so many is the last try.
+        last_try = errors.loc[errors["size"] >= self.max_tries, "max"].reindex(good.index)
+        in_time = good[last_try.isna() | (good < last_try)]
+        out = requests[self.request].assign(resolved_at=in_time.astype("Int64").reindex(requests.index))
+        return out.reset_index(drop=True)
+
+    def _first(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """Of each request the first success and the first errors, or else one row."""
+        rows = rows.drop_duplicates([*self.request, "kind", "at"]).sort_values("at", kind="stable")
+        number = rows.groupby(self.request, dropna=False, sort=False).ngroup()
+        good, bad = rows["kind"] == self.success, rows["kind"] == self.error
+        place = rows.groupby([number, rows["kind"]], dropna=False, sort=False).cumcount()
+        keep = (good & (place < 1)) | (bad & (place < self.max_tries))
+        alone = ~number.isin(number[keep]) & ~number.duplicated()
+        return rows[keep | alone]
 
     def close(self) -> None:
         pass
@@ -87,6 +147,7 @@ def resolve_attempts_stream(
     deadline: Column,
     delay: str,
     max_tries: int = MAX_TRIES,
+    packs: int = 64,
 ) -> DataFrame:
     """A stream of ``request, resolved_at``, one row per request once its time is over.
 
@@ -94,8 +155,10 @@ def resolve_attempts_stream(
     is settled, and later attempts of it are left out, when deadlines of more than
     ``delay`` after its own have been seen. State holds at most one success and
     ``max_tries`` errors per request, and tasks cut their rows to these before the
-    exchange, so a request with very many attempts sends only a few. A request whose
+    exchange, so a request with very many attempts sends only a few. Requests whose
+    deadlines lie in one hour share ``packs`` keys of the state. A request whose
     parts are all null is the sign of a topic to move time on, and settles nothing.
+    Attempts without a deadline are left out.
     """
     names = list(request)
 
@@ -121,18 +184,26 @@ def resolve_attempts_stream(
     rows = attempts.select(
         *names, kind.alias("kind"), F.coalesce(F.col(position).cast("long"), F.lit(-1)).alias("at"), deadline.cast("timestamp").alias("deadline")
     )
-    settled = StructType([*(rows.schema[n] for n in names), StructField("resolved_at", LongType())])
+    fields = [rows.schema[n] for n in names]
+    settled = StructType([*(StructField(n, StringType()) for n in names), StructField("resolved_at", LongType())])
     some = F.lit(False)
     for name in names:
         some = some | F.col(name).isNotNull()
+    due = F.unix_millis("deadline")
     return (
         rows.mapInArrow(cut, rows.schema)
+        .where("deadline is not null")
         .withWatermark("deadline", delay)
-        .groupBy(*names)
+        .select(
+            F.pmod(F.xxhash64(*names), F.lit(packs)).alias("_pack"), F.floor(due / _SLOT_MS).alias("_slot"),
+            *map(_as_text, fields), "kind", "at", due.alias("due"), "deadline",
+        )
+        .groupBy("_pack", "_slot")
         .transformWithStateInPandas(
             AttemptResolver(names, max_tries, SUCCESS, ERROR), settled, "Append", "EventTime"
         )
         .where(some)
+        .select(*map(_from_text, fields), "resolved_at")
     )
 
 

@@ -95,6 +95,28 @@ def test_a_request_with_very_many_attempts_keeps_few(spark, tmp_path):
     assert feed.run(make) == [("hot", None)]
 
 
+def state_rows(rows, feed):
+    """Rows that the state holds after a run."""
+    with rocksdb_state(feed.spark):
+        query = append_stream(rows, feed.out, feed.checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def test_many_requests_share_keys_of_the_state(spark, tmp_path):
+    feed = Feed(spark, tmp_path, LOG)
+    end = at(spark, 5000)
+    feed.add([(f"r{k}", (ERROR, SUCCESS)[k % 2], k, end) for k in range(600)])
+
+    def make(rows):
+        return resolve_attempts_stream(rows, ["request"], F.col("kind"), "at", F.col("deadline"), "0 seconds", packs=4)
+
+    # Four keys with a value each, and their timers.
+    assert state_rows(make(feed.stream()), feed) <= 40
+    feed.add([(None, None, 0, at(spark, 10**6))])
+    assert sorted(feed.run(make)) == sorted((f"r{k}", k if k % 2 else None) for k in range(600))
+
+
 CALLS = "worker long, id long, ts timestamp, kind string"
 
 
