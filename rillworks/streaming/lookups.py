@@ -11,6 +11,7 @@ import sys
 from collections.abc import Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -28,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _HELD_ROWS = 50_000
 #: Deadlines of so many milliseconds share keys of the state.
 _SLOT_MS = 3_600_000
+#: Position of a timeout that has gone out, before all others.
+_CARRIED = -(1 << 63)
 
 
 def _matter(rows: pd.DataFrame, request: list[str], max_tries: int, success: str, error: str) -> pd.DataFrame:
@@ -208,53 +211,67 @@ def resolve_attempts_stream(
 
 
 class ProviderChoice(StatefulProcessor):
-    """Calls of an instance wait in a map until their time has come, then go out in order."""
+    """Calls wait until their time has come, then go out in order of their instance.
+
+    A key holds the calls of many instances, as lists of rows, and of each instance the
+    latest timeout that has gone out, while it is young enough to matter, as a row at ``_CARRIED``.
+    """
 
     def __init__(self, instance: list[str], window_us: int) -> None:
         self.instance, self.window_us = instance, window_us
+        text = [(name, pa.string()) for name in instance]
+        self.schema = pa.schema([*text, ("at", pa.int64()), ("us", pa.int64()), ("timed_out", pa.bool_()), ("mine", pa.bool_())])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        # Position to time and whether the call timed out.
-        self._waiting = handle.getMapState("waiting", "at bigint", "us bigint, timed_out boolean, mine boolean")
-        self._last = handle.getValueState("last_timeout", "us bigint")
+        self._waiting = handle.getListState("waiting", "calls binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        times: set[int] = set()
+        first = None
         for part in rows:
-            for at, us, timed_out, mine in zip(part["at"], part["us"], part["timed_out"], part["mine"]):
-                self._waiting.updateValue((int(at),), (int(us), bool(timed_out), bool(mine)))
-                times.add(int(us) // 1000 + 1)
-        # One timer per batch is enough: whatever is due by then goes out with it.
-        if times:
-            for at_ms in {min(times), max(times)}:
-                self._handle.registerTimer(at_ms)
-        yield from ()
+            # A call without a time follows no timeout, and none of its own counts.
+            placed = part["us"].notna()
+            yield from self._out(part[~placed & part["mine"]].assign(provider="primary"))
+            part = part[placed]
+            if len(part):
+                self._waiting.appendValue(_pack(part[self.schema.names].astype({"us": "int64"}), self.schema))
+                at = int(part["us"].min())
+                first = at if first is None else min(first, at)
+        if first is not None:
+            self._handle.registerTimer(first // 1000 + 1)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         if not self._waiting.exists():
             return
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        calls = sorted((at[0], *call) for at, call in self._waiting.iterator())
-        due = [call for call in calls if call[1] < now]
-        last = int(self._last.get()[0]) if self._last.exists() else None
-        at, provider = [], []
-        for position, us, timed_out, mine in due:
-            young = last is not None and us - last < self.window_us
-            if mine:
-                at.append(position)
-                provider.append("fallback" if young else "primary")
-            if timed_out:
-                last = us if last is None else max(last, us)
-            self._waiting.removeKey((position,))
-        if last is not None:
-            self._last.update((last,))
-        left = [call[1] // 1000 + 1 for call in calls if call[1] >= now]
-        if left:
-            self._handle.registerTimer(min(left))
-        if at:
-            names = {name: [value] * len(at) for name, value in zip(self.instance, key)}
-            yield pd.DataFrame({**names, "at": at, "provider": provider})
+        calls = pd.concat(list(map(_unpack, self._waiting.get())), ignore_index=True)
+        # A position that came again counts as it came last.
+        calls = calls.drop_duplicates([*self.instance, "at"], keep="last")
+        due = (calls["us"] < now) | (calls["at"] == _CARRIED)
+        left, calls = calls[~due], calls[due]
+        number = calls.groupby(self.instance, dropna=False, sort=False).ngroup().to_numpy()
+        order = np.lexsort((calls["at"].to_numpy(), number))
+        calls, number = calls.iloc[order], number[order]
+        us = calls["us"].to_numpy()
+        latest = pd.Series(np.where(calls["timed_out"], us, _CARRIED)).groupby(number).cummax().to_numpy()
+        ends = np.append(number[1:] != number[:-1], True) if len(number) else np.zeros(0, bool)
+        before = np.full(len(us), _CARRIED)
+        before[1:] = np.where(ends[:-1], _CARRIED, latest[:-1])
+        young = (before != _CARRIED) & (us - np.where(before == _CARRIED, 0, before) < self.window_us)
+        # Calls to come are at now or later, so an older timeout is young for none of them.
+        carried = calls[ends].assign(at=_CARRIED, us=latest[ends], timed_out=True, mine=False)
+        carried = carried[(latest[ends] != _CARRIED) & (latest[ends] > now - self.window_us)]
+        self._waiting.clear()
+        if len(left) or len(carried):
+            self._waiting.put([_pack(rows, self.schema) for rows in (carried, left) if len(rows)])
+        if len(left):
+            self._handle.registerTimer(int(left["us"].min()) // 1000 + 1)
+        calls = calls.assign(provider=np.where(young, "fallback", "primary"))
+        yield from self._out(calls[calls["mine"].to_numpy()])
+
+    def _out(self, calls: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for start in range(0, len(calls), _HELD_ROWS):
+            yield calls[[*self.instance, "at", "provider"]].iloc[start : start + _HELD_ROWS].reset_index(drop=True)
 
     def close(self) -> None:
         pass
@@ -268,13 +285,16 @@ def choose_provider_stream(
     delay: str,
     window_seconds: int = PROVIDER_WINDOW_SECONDS,
     shares: int = 8,
+    packs: int = 64,
 ) -> DataFrame:
     """A stream of ``instance, at, provider``: a row per call once nothing earlier can come.
 
     ``ts`` holds the time of a call, and positions of an instance grow with it. Calls and
     timeouts may arrive out of order by ``delay``; later ones are left out. State holds
-    the calls of that delay and one number per instance. An instance's calls are dealt to
-    ``shares`` keys, each of which gets all of its timeouts, so a busy one is spread.
+    the calls of that delay and one number per instance that had a timeout within the
+    window. Instances share ``packs`` keys of the state, each of which is dealt out to
+    ``shares`` keys that all get its timeouts, so a busy instance is spread.
+    A call without a time is one to the primary.
     """
     names = list(instance)
     rows = calls.select(
@@ -285,18 +305,19 @@ def choose_provider_stream(
     dealt = rows.withColumn("own", own).withColumn(
         "share", F.explode(F.when(F.col("timed_out"), F.sequence(F.lit(0), F.lit(shares - 1))).otherwise(F.array("own")))
     ).withColumn("mine", F.col("share") == F.col("own")).drop("own")
+    fields = [dealt.schema[n] for n in names]
     chosen = StructType(
-        [*(dealt.schema[n] for n in (*names, "share")), StructField("at", LongType()), StructField("provider", StringType())]
+        [*(StructField(n, StringType()) for n in names), StructField("at", LongType()), StructField("provider", StringType())]
     )
     some = F.lit(False)
     for name in names:
         some = some | F.col(name).isNotNull()
+    pack = F.pmod(F.xxhash64(*names), F.lit(packs)) * F.lit(shares) + F.col("share")
     return (
         dealt.withWatermark("ts", delay)
-        .groupBy(*names, "share")
-        .transformWithStateInPandas(
-            ProviderChoice([*names, "share"], window_seconds * 1_000_000), chosen, "Append", "EventTime"
-        )
+        .select(pack.alias("_pack"), *map(_as_text, fields), "at", "ts", "us", "timed_out", "mine")
+        .groupBy("_pack")
+        .transformWithStateInPandas(ProviderChoice(names, window_seconds * 1_000_000), chosen, "Append", "EventTime")
         .where(some)
-        .drop("share")
+        .select(*map(_from_text, fields), "at", "provider")
     )

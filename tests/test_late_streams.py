@@ -145,6 +145,19 @@ def test_providers_are_chosen_as_in_the_batch(spark, tmp_path):
     assert sorted(got) == sorted(want) and {p for *_, p in got} == {"primary", "fallback"}
 
 
+def test_many_workers_share_keys_of_the_state(spark, tmp_path):
+    feed = Feed(spark, tmp_path, CALLS)
+    feed.add([(k // 2, k, at(spark, 1000 + 2 * (k % 2)), "timeout" if k % 4 == 0 else "ok") for k in range(600)])
+
+    def make(rows):
+        return choose_provider_stream(rows, ["worker"], "id", F.col("kind") == "timeout", "10 seconds", 60, shares=2, packs=2)
+
+    # Four keys with lists of rows, and their timers.
+    assert state_rows(make(feed.stream()), feed) <= 40
+    feed.add([(None, None, at(spark, 10**6), None)])
+    assert sorted(feed.run(make)) == sorted((k // 2, k, "fallback" if k % 4 == 1 else "primary") for k in range(600))
+
+
 ANSWERS = "id int, provider string, document string, answered_at timestamp"
 
 
