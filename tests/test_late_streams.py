@@ -193,6 +193,16 @@ def test_answers_before_after_and_too_late(spark, tmp_path):
     assert all(found[o] == ("raw", json.dumps({"anime_id": o // 10})) for o in (40, 50, 60, 80))
 
 
+def test_late_answers_keep_one_store_per_partition(spark, tmp_path):
+    asked, came = Feed(spark, tmp_path / "a", ENVELOPE), Feed(spark, tmp_path / "b", ANSWERS)
+    asked.add([("k", json.dumps({"anime_id": 1}), "t", 0, 1, at(spark, 1000))])
+    came.add([(1, "primary", "one", at(spark, 1000))])
+    late = enrich_late(asked.stream(), came.stream(), "100 SECOND", "50 SECOND", "500 seconds")
+    drain(append_stream(late, asked.out, asked.checkpoint))
+    stores = {p.name for p in (tmp_path / "a" / "checkpoint" / "state").glob("*/[0-9]*/*") if p.is_dir()}
+    assert not any(name.startswith(("left-", "right-")) for name in stores)
+
+
 ROWS = "key string, value string, offset bigint"
 
 
