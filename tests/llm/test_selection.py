@@ -213,6 +213,20 @@ def test_language_model_counts_and_beats_the_share_of_words(spark, no_documents)
     assert mixing_lm.score_documents(no_documents).count() == 0
 
 
+def test_language_model_learns_from_every_training_word(spark):
+    def learned(rows, parts):
+        schema = "word binary, n0 long, n1 long, n2 long, n3 long, c long"
+        words = spark.createDataFrame([(w.encode(), n, 0, 0, 0, n) for w, n in rows], schema).repartition(parts)
+        return mixing_lm.learn(*mixing_lm.count_tables(words), words, np.array([sum(n for _, n in rows), 0, 0, 0], float))
+
+    rows = [(w, 1 + len(w) % 3) for w in {w.lower() for k in range(40) for w in prose(k, 60)}]
+    one, other = learned(rows, 2), learned([*rows, ("unheld", 0)], 5)
+    # Words of no training document change nothing, and neither does how words are dealt.
+    assert np.allclose(one.weights, other.weights) and np.allclose(one.refine, other.refine) and np.allclose(one.share, other.share)
+    more = learned([*rows, ("zzyzx", 1)], 3)
+    assert not np.allclose(one.weights, more.weights) and not np.allclose(one.refine, more.refine)
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
