@@ -223,6 +223,9 @@ def test_language_model_learns_from_every_training_word(spark):
     one, other = learned(rows, 2), learned([*rows, ("unheld", 0)], 5)
     # Words of no training document change nothing, and neither does how words are dealt.
     assert np.allclose(one.weights, other.weights) and np.allclose(one.refine, other.refine) and np.allclose(one.share, other.share)
+    # Single precision would round this count.
+    common = learned([("the", (1 << 24) + 2)], 1)
+    assert all(np.isfinite(x).all() for x in (common.weights, common.refine, common.share))
     more = learned([*rows, ("zzyzx", 1)], 3)
     assert not np.allclose(one.weights, more.weights) and not np.allclose(one.refine, more.refine)
 
