@@ -2,12 +2,14 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -230,6 +232,48 @@ def test_language_model_learns_from_every_training_word(spark):
     assert not np.allclose(one.weights, more.weights) and not np.allclose(one.refine, more.refine)
 
 
+def test_language_model_tables_travel_small(spark, monkeypatch):
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(
+        type(spark.sparkContext), "broadcast", lambda self, value: sent.append(len(pickle.dumps(value))) or broadcast(self, value)
+    )
+    docs = spark.createDataFrame([(k, prose(k, 200)) for k in range(40)], "doc_id long, text string")
+    assert mixing_lm.score_documents(docs).count() == 40
+    # Every executor and the driver keep each of them as a file.
+    assert sent and sum(sent) < 4_000_000
+
+
+def test_language_model_tables_keep_counts_and_leave_one_out():
+    draw = np.random.default_rng(3)
+    met = [np.append(draw.integers(0, 30, (1 << b) - 2), [0, 2**53 - 1]).astype(float) for b in mixing_lm.TABLE_BITS]
+    ones = [np.floor(m * draw.random(len(m))) for m in met]
+    tables = pickle.loads(pickle.dumps(mixing_lm.Tables(met, ones)))
+    for k, (m, o) in enumerate(zip(met, ones)):
+        assert (tables.whole[0][k] == mixing_lm.log_odds(m, o).astype(np.float32)).all()
+        assert (tables.whole[1][k] == mixing_lm.evidence(m)).all()
+        assert (tables.but_one[1][k] == mixing_lm.evidence(np.maximum(m - 1, 0))).all()
+        for value, seen in ((0, m - o > 0), (1, o > 0)):
+            want = mixing_lm.log_odds(m - 1, o - value)[seen]
+            assert (tables.but_one[0][k][value::2][seen] == want).all()
+
+
+def test_words_coded_together_equal_each_alone():
+    draw = random.Random(8)
+    words = ["".join(draw.choice("aab\x00é") for _ in range(draw.randrange(1, 12))).encode() for _ in range(600)] + [b"", b"a" * 900]
+    column, each = pa.array(words, pa.binary()), np.arange(1.0, 603.0)
+    s, plain = mixing_lm.cells(column), mixing_lm.spell(column)
+    assert len(s.byte) < len(s.of) == len(plain.byte)
+    assert (s.byte[s.of] == plain.byte).all() and all((c[s.of] == p).all() for c, p in zip(s.contexts, plain.contexts))
+    want = Counter()
+    for context, byte, word in zip(plain.contexts[-1], plain.byte, plain.word):
+        want[int(context), int(byte)] += each[word]
+    assert Counter({(int(c), int(b)): n for c, b, n in zip(s.contexts[-1], s.byte, s.counted(each))}) == want
+    sizes = np.array([len(w) + 1 for w in words])
+    assert (s.by_word(np.ones(len(s.byte)), len(words)) == sizes).all()
+    batches = [pa.RecordBatch.from_arrays([column.slice(a, 50)], ["word"]) for a in range(0, len(column), 50)]
+    assert sum((b.column(0).to_pylist() for b in mixing_lm._joined(iter(batches))), []) == words
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
