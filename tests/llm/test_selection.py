@@ -274,6 +274,24 @@ def test_words_coded_together_equal_each_alone():
     assert sum((b.column(0).to_pylist() for b in mixing_lm._joined(iter(batches))), []) == words
 
 
+def test_language_model_learns_each_distinct_cell_once(spark):
+    draw = random.Random(5)
+    words = sorted({"".join(draw.choice("ab\x00é") for _ in range(draw.randrange(1, 12))).encode() for _ in range(500)})
+    counts = [draw.choice([0, 1, 3, 250, (1 << 31) + 1]) for _ in words]
+    df = spark.createDataFrame(list(zip(map(bytearray, words), counts)), "word binary, c long").repartition(4)
+    found = mixing_lm.distinct_cells(df).collect()
+    every, least = Counter(), Counter()
+    for word, count in zip(words, counts):
+        for k, byte in enumerate(word + b" " if count else b""):
+            cell = min(k, 7), word[max(k - 6, 0) : k], byte
+            every[cell] += count
+            least[cell] += min(count, 100)
+    assert sorted((r.c, r.least) for r in found) == sorted((n, least[cell]) for cell, n in every.items())
+    byte, contexts = mixing_lm._unkeyed(np.array([r.cell for r in found], np.int64).view(np.uint64))
+    s = mixing_lm.spell(pa.array([w for w, c in zip(words, counts) if c], pa.binary()))
+    assert set(zip(byte, *contexts)) == set(zip(s.byte, *s.contexts))
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
