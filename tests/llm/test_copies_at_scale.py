@@ -44,6 +44,41 @@ def test_vectors_just_above_the_bound_are_linked(spark):
     assert sum(linked[1::2]) >= 0.98 * (pairs // 2) and not any(linked[0::2])
 
 
+def test_vectors_travel_little_and_are_hashed_once(spark):
+    n, size = 615_384, 64
+    tables, turns = embedding_dedup.tables_for(n, size, 0.9)
+    body = embedding_dedup._body("<f4", size, tables, turns)
+    # Before: 80 buckets of 552 bytes each.
+    assert turns >= 2 and tables * (1 + turns) * body.itemsize < 16_000
+    x = np.random.default_rng(5).normal(size=(50, size)).astype("<f4")
+    rows = [(k, bytes([k] * 16), k + 1, v.tobytes()) for k, v in enumerate(x)]
+    classes = spark.createDataFrame(rows, "node long, key binary, copies long, raw binary")
+    found = {}
+    for r in embedding_dedup._hashed(classes, "<f4", size, tables, turns).collect():
+        one = np.frombuffer(r.body, body)[0]
+        found[int(one["node"])] = r.buckets
+        assert one["copies"] == one["node"] + 1 and (one["raw"] == x[one["node"]]).all()
+        assert embedding_dedup.numbers(one["vertices"][None], size).ravel().tolist() == r.buckets
+    assert sorted(found) == list(range(50))
+    unit = embedding_dedup._unit(x)
+    turned = embedding_dedup._turned(unit, 3, 1)
+    assert np.allclose(embedding_dedup.rotate(unit, 3, 1), turned, rtol=0, atol=1e-9)
+    assert embedding_dedup.buckets(unit, tables, turns).tolist() == [found[k] for k in range(50)]
+
+
+def test_pairs_at_the_bound_are_settled_in_double_precision():
+    draw = np.random.default_rng(8)
+    a = embedding_dedup._unit(draw.normal(size=(400, 64)))
+    b = draw.normal(size=a.shape)
+    b = embedding_dedup._unit(b - (b * a).sum(1, keepdims=True) * a)
+    cosine = 0.9 + draw.choice([-1, 1], 400) * draw.uniform(1e-12, 1e-8, 400)
+    x = np.concatenate([a, cosine[:, None] * a + np.sqrt(1 - cosine[:, None] ** 2) * b])
+    left, right = np.arange(400), np.arange(400, 800)
+    i, j = embedding_dedup._near(x, x.astype(np.float32), 0.9, left, right)
+    got = set(i[j == i + 400].tolist())
+    assert got == set(np.flatnonzero((x[:400] * x[400:]).sum(1) >= 0.9).tolist()) and 100 < len(got) < 300
+
+
 def test_ids_by_a_shuffle_and_groups_in_blocks_link_the_same(spark, monkeypatch):
     draw, rows = random.Random(14), []
     for k in range(12):
