@@ -292,6 +292,72 @@ def test_language_model_learns_each_distinct_cell_once(spark):
     assert set(zip(byte, *contexts)) == set(zip(s.byte, *s.contexts))
 
 
+def _plain_cells(words):
+    """How many bytes of a text are before each (seven: or more), up to six of them, and the byte."""
+    raw = "".join(w + " " for w in words).lower().encode()
+    return [(min(k, 7), raw[max(k - 6, 0) : k], b) for k, b in enumerate(raw)]
+
+
+def _cell(key):
+    key = int(key)
+    depth = key >> 56
+    return depth, bytes(key >> 8 * k & 255 for k in range(min(depth, 6), 0, -1)), key & 255
+
+
+@pytest.mark.parametrize("met", [mixing_lm.MET_BYTES, 40])
+def test_language_model_counts_cells_across_words(spark, monkeypatch, met):
+    monkeypatch.setattr(mixing_lm, "MET_BYTES", met)
+    draw = random.Random(21)
+    texts = [" ".join(draw.choice(["a", "bc", "the", "Zwölf", "longer-word", "x" * 50]) for _ in range(draw.randrange(30))) for _ in range(40)]
+    docs = [(k, t, k % 4) for k, t in enumerate([*texts, None, "", " \n "])]
+    want = Counter()
+    for k, text, _ in docs:
+        if not mixing_lm.is_held_out(k):
+            want.update(_plain_cells((text or "").split()))
+    df = spark.createDataFrame(docs, "id long, text string, kind int").repartition(3)
+    found = mixing_lm.text_cells(mixing_lm.text_chunks(df, 5)).collect()
+    assert len(found) == len(want) and {_cell(np.int64(r.cell).view(np.uint64)): r.c for r in found} == want
+    # And a long text in pieces as whole.
+    words = [w.encode() for w in ("ab", "c", "defghijk", "l")]
+    size, raw = np.array([len(w) for w in words]), np.frombuffer(b"".join(words), np.uint8)
+    place = np.array([draw.randrange(4) for _ in range(200)])
+    pieces = list(mixing_lm.streams(place, np.array([200]), size, raw))
+    assert len(pieces) > 1 or met > 40
+    plain = _plain_cells([words[k].decode() for k in place])
+    assert [_cell(key) for s in pieces for key in s.key] == plain and sum(len(s.token) for s in pieces) == 200
+
+
+def test_language_model_reads_texts_in_order(spark):
+    held = [k for k in range(1000, 3000) if mixing_lm.is_held_out(k)][:2]
+    draw, rows = random.Random(4), []
+    for k in range(120):
+        rows.append((k, " ".join(draw.choice(["red apple", "blue river", "old stone", "green leaf"]) for _ in range(60))))
+    same = " ".join(["red apple blue river old stone green leaf"] * 8)
+    rows += [(held[0], same), (held[1], " ".join(reversed(same.split())))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in mixing_lm.score_documents(df.repartition(1)).collect()}
+    # The same words: only what is before each of them tells the two apart.
+    assert abs(got[held[0]].base_score - got[held[1]].base_score) < 1e-9
+    assert got[held[0]].score > got[held[1]].score + 5
+    other = {r.doc_id: r for r in mixing_lm.score_documents(df.repartition(4)).collect()}
+    assert all(abs(got[k].score - other[k].score) < 1e-3 for k in got)
+
+
+def test_language_model_memo_changes_nothing(monkeypatch):
+    draw = np.random.default_rng(2)
+    predict = lambda key: (key % np.uint64(1009)).astype(np.float64)
+    monkeypatch.setattr(mixing_lm, "MEMO_CELLS", 50)
+    key = np.sort(draw.choice(1000, 100, False).astype(np.uint64))
+    memo = mixing_lm.Memo((key, predict(key)), predict)
+    for _ in range(30):
+        some = np.sort(draw.permutation(1000)[: draw.integers(0, 120)]).astype(np.uint64)
+        assert (memo.logs(some) == predict(some)).all() and len(memo.known[1][0]) <= 50
+    columns = [np.array([0, 1 << 40, 3]), np.array([7, 8, 9]), np.zeros(0, np.int64), np.array([-1, 2]), np.array([True, False])]
+    columns += [np.array([1.5, -2], np.float32), np.array([1 << 63], np.uint64), np.array([1, 255], np.uint8)]
+    back = mixing_lm._unpack(mixing_lm._pack(*columns))
+    assert all((x == y).all() and x.dtype == y.dtype for x, y in zip(columns, back)) and len(back) == len(columns)
+
+
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
